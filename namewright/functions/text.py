@@ -104,6 +104,11 @@ def vector_words(
     return F.filter(plain, lambda w: (w != "") & ~F.array_contains(word_list(stopwords), w))
 
 
+def digest(col: Column) -> Column:
+    """A short key that tells texts apart: the text itself, or its SHA-256 where that is shorter."""
+    return F.when(F.octet_length(col) > 64, F.concat(F.lit("#"), F.sha2(col, 256))).otherwise(col)
+
+
 def pipe_words(col: Column) -> Column:
     """Split at literal pipes."""
     return F.split(col, r"\|")
@@ -129,6 +134,7 @@ __all__ = [
     "LETTERS_ONLY",
     "clean_fold_first",
     "clean_strip_first",
+    "digest",
     "drop_stopwords",
     "first_pipe_word",
     "fold_letters",

@@ -15,7 +15,6 @@ from namewright.operators.edit_match import edit_matches
 from namewright.sources.staging import stage
 
 CORRECTION_COLUMNS = ("name_corrected", "matched_words", "original_tokens_matched", "model_sources")
-PLAIN_WORDS = "^[a-z0-9]+( [a-z0-9]+)*$"
 
 
 def as_targets(spark: SparkSession, targets: DataFrame | Sequence[str]) -> DataFrame:
@@ -64,7 +63,8 @@ def _corrected(name: Column, matches: Column) -> Column:
     words = F.split(name, " ")
     changes = F.filter(matches, lambda m: m["token"] != m["target"])
     plain = (
-        F.rlike(name, F.lit(PLAIN_WORDS))
+        ~F.rlike(name, F.lit("[^a-z0-9 ]"))
+        & ~F.array_contains(words, "")
         & (F.size(F.array_distinct(words)) == F.size(words))
         & F.forall(changes, lambda m: F.rlike(m["target"], F.lit("^[a-z0-9]+$")))
         & ~F.arrays_overlap(changes["token"], changes["target"])
@@ -92,41 +92,41 @@ def _corrected(name: Column, matches: Column) -> Column:
     return F.when(plain, F.trim(spaced)).otherwise(general)
 
 
-def apply_dictionary(
-    texts: DataFrame,
-    column: str,
-    dictionary: DataFrame,
-    delimiter: str = ",",
-    stopwords: Sequence[str] = STOPWORDS,
-    letters: text.Letters = LETTERS,
-) -> DataFrame:
-    """Correct a table of unique rows by a dictionary (token, target, source).
+def _matches(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Collect the matched tokens per key: longest token first, then first occurrence."""
+    match = F.struct((-F.length("token")).alias("order"), "position", "token", "target", "source")
+    listed = F.collect_list(F.when(F.col("target").isNotNull(), match))
+    return found.groupBy(*keys).agg(F.array_sort(listed).alias("_matches"))
 
-    Tokens are exploded, joined and grouped back by the table's own columns. While the dictionary
-    is small enough to broadcast, an input partitioned by any of these columns is not shuffled.
-    """
-    keys = texts.columns
-    words = text.match_words(F.col(column), stopwords, letters)
-    tokens = texts.select(*keys, F.posexplode_outer(words).alias("_position", "token"))
-    found = tokens.join(dictionary.select("token", "target", "source"), "token", "left")
-    # Longest token first, then first occurrence.
-    match = F.struct((-F.length("token")).alias("order"), "_position", "token", "target", "source")
-    grouped = found.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.when(F.col("target").isNotNull(), match))).alias("_matches")
-    )
-    matches = F.col("_matches")
+
+def _correction_columns(column: str, delimiter: str) -> list[Column]:
+    name, matches = F.col(column), F.col("_matches")
 
     def listed(field: str) -> Column:
         values = F.transform(matches, lambda m: m[field].cast("string"))
         return F.when(F.size(matches) > 0, F.concat_ws(delimiter, values))
 
-    return grouped.select(
-        *keys,
-        F.when(F.col(column).isNotNull(), _corrected(F.col(column), matches)).alias("name_corrected"),
-        listed("target").alias("matched_words"),
-        listed("token").alias("original_tokens_matched"),
-        listed("source").alias("model_sources"),
-    )
+    corrected = F.when(name.isNull() | matches.isNull(), name).otherwise(_corrected(name, matches))
+    columns = (corrected, listed("target"), listed("token"), listed("source"))
+    return [c.alias(n) for c, n in zip(columns, CORRECTION_COLUMNS, strict=True)]
+
+
+def apply_dictionary(
+    texts: DataFrame, column: str, dictionary: DataFrame, delimiter: str = ","
+) -> DataFrame:
+    """Correct a table of unique, short rows by a dictionary (token, target, source).
+
+    Tokens are exploded, joined and grouped back by the table's own columns; an empty token keeps
+    rows without a match. While the dictionary is small enough to broadcast, an input partitioned
+    by any of its columns is not shuffled.
+    """
+    keys = texts.columns
+    words = F.coalesce(text.match_words(F.col(column)), text.word_list(()))
+    marked = F.concat(words, text.word_list(("",)))
+    tokens = texts.select(*keys, F.posexplode(marked).alias("position", "token"))
+    found = tokens.join(dictionary.select("token", "target", "source"), "token", "left")
+    kept = found.where(F.col("target").isNotNull() | (F.col("token") == ""))
+    return _matches(kept, keys).select(*keys, *_correction_columns(column, delimiter))
 
 
 def correct_words(
@@ -145,16 +145,22 @@ def correct_words(
     Adds ``name_corrected``, ``matched_words``, ``original_tokens_matched`` and ``model_sources``
     (1 = embedding, 3 = edit distance). A text without matches stays as it is with three nulls;
     a null text gives four nulls. Each distinct token is compared once and each distinct text
-    corrected once.
+    tokenised once; between the steps a long text travels as its digest.
     """
     if targets is None or stopwords is None or letters is None:
         raise ValueError("targets, stopwords and letters are required")
     tokens = text_tokens(df, column, stopwords, letters)
     ranked = as_targets(df.sparkSession, targets)
     dictionary = stage(correction_dictionary(tokens, ranked, threshold, vectors), "dictionary")
-    present = df.where(F.col(column).isNotNull())
-    counts = present.groupBy(column).agg(F.count("*").alias("n_rows"))
-    corrected = apply_dictionary(
-        counts.select(column), column, dictionary, delimiter, stopwords, letters
+
+    keyed = df.withColumn("_key", text.digest(F.col(column)))
+    texts = keyed.where(F.col(column).isNotNull()).groupBy("_key").agg(
+        F.count("*").alias("n_rows"), F.any_value(column).alias("text")
+    )
+    words = text.match_words(F.col("text"), stopwords, letters)
+    exploded = texts.select("_key", F.posexplode(words).alias("position", "token"))
+    found = exploded.join(dictionary.select("token", "target", "source"), "token")
+    joined = attach(
+        keyed, _matches(found, ["_key"]), texts.select("_key", "n_rows"), "_key", rows_per_split
     )
-    return attach(df, corrected, counts, column, rows_per_split)
+    return joined.select(*df.columns, *_correction_columns(column, delimiter))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from namewright.functions import text
-from namewright.functions.similarity import at_least, shared_words
+from namewright.functions.similarity import at_least
 from namewright.operators.attach import ROWS_PER_SPLIT, attach
 from namewright.sources.staging import stage
 
@@ -14,7 +16,11 @@ MAX_POSTINGS = 1_000
 
 
 def taxonomy_entries(taxonomy: DataFrame) -> DataFrame:
-    """One entry per distinct word set, keeping the lowest (id, degree_name): (words, entry)."""
+    """One entry per distinct word set, that of the lowest (id, degree_name).
+
+    Columns: words, the struct ``entry`` of master_degree_id, degree_name, master_tokens and the
+    taxonomy's other columns, and ``number``, which grows with (id, degree_name).
+    """
     named = taxonomy.where(F.col("degree_name").isNotNull()).withColumn(
         "master_tokens", F.split(F.lower("degree_name"), " ")
     )
@@ -23,76 +29,93 @@ def taxonomy_entries(taxonomy: DataFrame) -> DataFrame:
         F.col("id").alias("master_degree_id"), "degree_name", "master_tokens", *others
     )
     words = F.array_sort(F.array_distinct("master_tokens"))
-    return named.groupBy(words.alias("words")).agg(
+    entries = named.groupBy(words.alias("words")).agg(
         F.min_by(entry, F.struct("id", "degree_name")).alias("entry")
     )
+    ordered = entries.orderBy("entry.master_degree_id", "entry.degree_name")
+    return ordered.withColumn("number", F.monotonically_increasing_id())
 
 
-def postings(entries: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
-    """The inverted index (token, entry) that leads every text to its best entry.
+def frequent_words(entries: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
+    """Words in more than ``max_postings`` entries; at most ``total words / max_postings``."""
+    counted = entries.select(F.explode("words").alias("token")).groupBy("token").count()
+    return counted.where(F.col("count") > max_postings).select("token")
 
-    A token in at most ``max_postings`` entries lists them all. A more frequent one would list a
-    large part of the taxonomy; there, entries with the same set of frequent tokens are told
-    apart by rare tokens only, and any rare token shared with a text leads to its entry anyway.
-    So a frequent token lists just the lowest entry of each such set. At most
-    ``total tokens / max_postings`` tokens are frequent, which bounds the broadcast.
-    """
-    exploded = entries.select("words", "entry", F.explode("words").alias("token"))
-    frequent = (
-        exploded.groupBy("token")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > max_postings)
-        .select("token")
-    )
-    rare = exploded.join(F.broadcast(frequent), "token", "left_anti")
-    signatures = (
-        exploded.join(F.broadcast(frequent), "token", "left_semi")
-        .groupBy("words")
-        .agg(
-            F.array_sort(F.collect_list("token")).alias("signature"),
-            F.min_by("entry", "words").alias("entry"),
-        )
-        .groupBy("signature")
-        .agg(F.min_by("entry", F.struct("entry.master_degree_id", "entry.degree_name")).alias("entry"))
-    )
-    return rare.select("token", "entry").unionByName(
-        signatures.select(F.explode("signature").alias("token"), "entry")
-    )
 
+def postings(entries: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The inverted index (token, rare, signature, number) that leads a text to its best entry.
 
-def best_overlap(keyed: DataFrame, tokens: Column, taxonomy: DataFrame) -> DataFrame:
-    """Add ``entry`` and ``match_score`` of the best taxonomy entry to a table of unique rows.
-
-    The most shared words win, then the lowest (id, degree_name). Tokens that meet no entry give
-    score 0 and the lowest entry; null tokens or an empty taxonomy give nulls.
+    A rare word lists all its entries. A frequent one would list a large part of the taxonomy;
+    among entries with the same frequent words (the same ``signature``) only rare words make a
+    difference, and any rare word shared with a text leads to its entry anyway. So a frequent
+    word lists just the lowest entry of each signature.
     """
-    entries = stage(taxonomy_entries(taxonomy), "entries")
-    index = stage(postings(entries), "postings")
-    keys = keyed.columns
-    exploded = keyed.select(
-        *keys,
-        tokens.alias("_tokens"),
-        F.explode_outer(F.array_distinct(tokens)).alias("token"),
+    exploded = entries.select("number", F.explode("words").alias("token"))
+    flagged = exploded.join(
+        F.broadcast(frequent.withColumn("frequent", F.lit(True))), "token", "left"
+    )
+    signed = flagged.groupBy("number").agg(
+        F.array_sort(F.collect_list(F.when(F.col("frequent"), F.col("token")))).alias("signature"),
+        F.collect_list(F.when(F.col("frequent").isNull(), F.col("token"))).alias("others"),
     )
-    candidates = exploded.join(index, "token", "left")
-    score = shared_words(F.col("_tokens"), F.col("entry.master_tokens"))
-    order = F.struct((-score).alias("score"), "entry.master_degree_id", "entry.degree_name")
-    found = F.col("entry").isNotNull()
-    best = candidates.groupBy(*keys).agg(
-        F.min(F.when(found, order)).alias("_order"),
-        F.min_by("entry", F.when(found, order)).alias("_entry"),
+    rare = signed.select(
+        F.explode("others").alias("token"), F.lit(True).alias("rare"), "signature", "number"
     )
-    lowest = entries.agg(
-        F.min_by("entry", F.struct("entry.master_degree_id", "entry.degree_name")).alias("entry")
-    ).scalar()
-    entry = F.when(tokens.isNotNull(), F.coalesce("_entry", lowest))
-    return best.withColumn("entry", entry).select(
-        *keys,
-        "entry",
-        F.when(
-            F.col("entry").isNotNull(), F.coalesce(-F.col("_order.score"), F.lit(0))
-        ).alias("match_score"),
+    lowest = signed.groupBy("signature").agg(F.min("number").alias("number"))
+    common = lowest.select(
+        F.explode("signature").alias("token"), F.lit(False).alias("rare"), "signature", "number"
     )
+    return rare.unionByName(common)
+
+
+class OverlapIndex:
+    """The staged tables of a taxonomy: entries, and postings per word."""
+
+    def __init__(self, taxonomy: DataFrame, max_postings: int = MAX_POSTINGS) -> None:
+        self.entries = stage(taxonomy_entries(taxonomy), "entries")
+        self.frequent = stage(frequent_words(self.entries, max_postings), "frequent")
+        self.postings = stage(postings(self.entries, self.frequent), "postings")
+
+    def best(
+        self, keyed: DataFrame, keys: Sequence[str], tokens: Column, keep_all: bool = False
+    ) -> DataFrame:
+        """The ``keys`` of a table of unique rows with ``entry`` and ``match_score`` of the best entry.
+
+        The most shared words win, then the lowest (id, degree_name). Rows that share no word with
+        any entry are left out, or kept with nulls.
+        """
+        common = self.frequent.agg(F.collect_list("token").alias("tokens")).scalar()
+        words = F.array_distinct(tokens)
+        # A null token marks each row; it meets no posting.
+        marked = F.array_append(F.coalesce(words, text.word_list(())), F.lit(None).cast("string"))
+        exploded = keyed.select(
+            *keys,
+            F.array_intersect(tokens, common).alias("_common"),
+            F.explode(marked if keep_all else words).alias("token"),
+        )
+        met = exploded.join(self.postings, "token", "left" if keep_all else "inner")
+        if keep_all:
+            met = met.where(F.col("rare").isNotNull() | F.col("token").isNull())
+        pairs = met.groupBy(*keys, "_common", "number", "signature").agg(
+            F.count_if(F.col("rare")).cast("int").alias("rare_words")
+        )
+        common_words = F.size(F.array_intersect("_common", "signature"))
+        scored = pairs.select(*keys, "number", (F.col("rare_words") + common_words).alias("score"))
+        order = F.when(F.col("number").isNotNull(), F.struct(-F.col("score"), "number"))
+        best = scored.groupBy(*keys).agg(
+            F.min_by(F.struct("number", F.col("score").alias("match_score")), order).alias("_best")
+        )
+        payload = self.entries.select("number", "entry")
+        found = best.select(*keys, "_best.*").join(payload, "number", "left")
+        return found.select(*keys, "entry", "match_score")
+
+    def complete(self, df: DataFrame, tokens: Column) -> DataFrame:
+        """Score 0 and the lowest entry for rows that have tokens and no best entry."""
+        lowest = self.entries.agg(F.min_by("entry", "number").alias("entry")).scalar()
+        entry = F.coalesce("entry", F.when(tokens.isNotNull(), lowest))
+        return df.withColumn("entry", entry).withColumn(
+            "match_score", F.when(F.col("entry").isNotNull(), F.coalesce("match_score", F.lit(0)))
+        )
 
 
 def best_per_id(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -118,13 +141,18 @@ def classify_by_overlap(
     below ``min_score``. One row per id remains.
     """
     speciality = F.col("matched_speciality")
-    present = df.where(speciality.isNotNull())
-    counts = present.groupBy("matched_speciality").agg(F.count("*").alias("n_rows"))
-    best = best_overlap(counts.select("matched_speciality"), text.overlap_words(speciality), taxonomy)
-    matched = attach(df, best, counts, "matched_speciality", rows_per_split).select(
+    tokens = text.overlap_words(speciality)
+    keyed = df.withColumn("_key", text.digest(speciality))
+    texts = keyed.where(speciality.isNotNull()).groupBy("_key").agg(
+        F.count("*").alias("n_rows"), F.any_value(speciality).alias("matched_speciality")
+    )
+    index = OverlapIndex(taxonomy)
+    best = index.best(texts, ["_key"], tokens)
+    matched = attach(keyed, best, texts.select("_key", "n_rows"), "_key", rows_per_split)
+    matched = index.complete(matched, tokens).select(
         *df.columns,
         F.lower(F.regexp_replace(speciality, r"\|", " ")).alias("matched_speciality_cleaned"),
-        text.overlap_words(speciality).alias("education_tokens"),
+        tokens.alias("education_tokens"),
         "entry.*",
         "match_score",
     )

@@ -10,7 +10,7 @@ from namewright.functions import text
 from namewright.operators import dimensions, fuzzy
 from namewright.operators.attach import ROWS_PER_SPLIT, attach
 from namewright.operators.cleaning import clean_column, taxonomy_words
-from namewright.operators.overlap import best_overlap, best_per_id, gate
+from namewright.operators.overlap import OverlapIndex, best_per_id, gate
 from namewright.sources.staging import stage
 
 RESULT_COLUMNS = (
@@ -77,7 +77,8 @@ def classify(
          "matched_words": "matched_speciality"},
     )
     education = text.overlap_words(F.col("matched_speciality"))
-    best = best_overlap(specified, education, cleaned_taxonomy.select("id", "degree_name"))
+    index = OverlapIndex(cleaned_taxonomy.select("id", "degree_name"))
+    best = index.complete(index.best(specified, specified.columns, education, keep_all=True), education)
     results = best.select(
         F.col("_name"), F.col("name").alias("corrected"), "degree_level", "matched_type",
         "model_source_types", "model_source_specialities",

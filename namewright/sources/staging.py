@@ -14,12 +14,14 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="namewright-")
 
 
-def shared_folder(spark: SparkSession) -> str | None:
+def shared_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; where unset, a temporary folder in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    return _local_folder() if spark.conf.get("spark.master", "").startswith("local") else None
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_folder()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -28,12 +30,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Meant for dictionaries and dimensions. The scan has a real file size, so Spark itself decides
     by its broadcast threshold between a broadcast and a shuffled join, and in the second case
     both inputs are plain exchanges that adaptive execution can split when a key is skewed. The
-    files also cut the lineage and survive the loss of executors. Without a shared folder the
-    plan is returned as it is.
+    files also cut the lineage and survive the loss of executors.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/namewright/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/namewright/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

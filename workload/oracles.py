@@ -188,7 +188,7 @@ counted AS (
   SELECT *, CASE WHEN e IS NOT NULL THEN len(list_intersect(e, m)) END AS score FROM scored),
 ranked AS (
   SELECT *, row_number() OVER (
-    PARTITION BY id ORDER BY score DESC NULLS LAST, master_degree_id, * EXCLUDE (e, m)) AS rank
+    PARTITION BY id ORDER BY score DESC NULLS LAST, master_degree_id, matched_speciality) AS rank
   FROM counted)
 SELECT {columns.format(gate=gate)}
 FROM ranked WHERE rank = 1"""
