@@ -24,6 +24,8 @@ Letters = Sequence[tuple[str, str]]
 WORD_CHAR = r"[\p{L}\p{N}_]"
 TOKEN_RUN = r"[\p{L}\p{Nl}\p{No}_]+"
 WHITESPACE_RUN = r"[\t-\r\x1c-\x20\x{85}\p{Z}]+"
+# Whitespace runs other than a single blank, which would be replaced by itself.
+SQUEEZED = r"\s{2,}|[\t-\r]"
 
 
 def word_list(words: Sequence[str]) -> Column:
@@ -59,7 +61,7 @@ def clean_strip_first(
     A null text gives an empty string.
     """
     kept = fold_letters(F.regexp_replace(F.lower(col), punctuation, ""), letters)
-    words = F.split(F.trim(F.regexp_replace(kept, r"\s+", " ")), " ")
+    words = F.split(F.trim(F.regexp_replace(kept, SQUEEZED, " ")), " ")
     return F.concat_ws(" ", drop_stopwords(words, stopwords))
 
 

@@ -88,11 +88,13 @@ class OverlapIndex:
         words = F.array_distinct(tokens)
         # A null token marks each row; it meets no posting.
         marked = F.array_append(F.coalesce(words, text.word_list(())), F.lit(None).cast("string"))
-        exploded = keyed.select(
+        # Two steps: beside an explode, the intersection would be evaluated once per word.
+        listed = keyed.select(
             *keys,
             F.array_intersect(tokens, common).alias("_common"),
-            F.explode(marked if keep_all else words).alias("token"),
+            (marked if keep_all else words).alias("_words"),
         )
+        exploded = listed.select(*keys, "_common", F.explode("_words").alias("token"))
         met = exploded.join(self.postings, "token", "left" if keep_all else "inner")
         if keep_all:
             met = met.where(F.col("rare").isNotNull() | F.col("token").isNull())

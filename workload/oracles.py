@@ -8,6 +8,7 @@ from namewright.config import LETTERS, STOPWORDS
 STOP = "[" + ", ".join(f"'{w}'" for w in STOPWORDS) + "]"
 OLD, NEW = "".join(o for o, _ in LETTERS), "".join(n for _, n in LETTERS)
 WORD = r"\p{L}\p{N}_"
+LETTERS_PATTERN = r"[^a-z\s]"
 
 
 def fold(expr: str) -> str:
@@ -23,9 +24,7 @@ def dedupe(words: str) -> str:
 
 
 def strip_first(expr: str, punctuation: str = r"[^a-z0-9\s]") -> str:
-    stripped = f"translate(regexp_replace(lower({expr}), '{punctuation}', '', 'g'), '{OLD}', '{NEW}')"
-    words = rf"string_split(trim(regexp_replace({stripped}, '\s+', ' ', 'g')), ' ')"
-    return f"coalesce(array_to_string({dedupe(words)}, ' '), '')"
+    return f"coalesce(array_to_string({dedupe(stripped_words(expr, punctuation))}, ' '), '')"
 
 
 def fold_first(expr: str) -> str:
@@ -40,6 +39,28 @@ def tokens(expr: str) -> str:
     return f"list_filter({runs}, lambda t: length(t) BETWEEN 2 AND 15 AND t[1] <> '_')"
 
 
+def first_words(name: str, source: str, keys: str, words: str) -> str:
+    """CTE of the distinct words per key without stopwords: keys, token, pos of first occurrence."""
+    return f"""
+{name} AS (
+  SELECT {keys}, token, min(pos) AS pos FROM (
+    SELECT {keys}, unnest({words}) AS token, generate_subscripts({words}, 1) AS pos FROM {source})
+  WHERE NOT list_contains({STOP}, token) GROUP BY ALL)"""
+
+
+def rejoined(name: str, source: str, keys: str, words: str, out: str) -> str:
+    """CTEs of the distinct words per key, joined by blanks as ``out``."""
+    return f"""{first_words(name + '_words', source, keys, words)},
+{name} AS (
+  SELECT {keys}, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS {out}
+  FROM (SELECT {keys} FROM {source}) LEFT JOIN {name}_words USING ({keys}) GROUP BY ALL)"""
+
+
+def stripped_words(expr: str, punctuation: str = r"[^a-z0-9\s]") -> str:
+    stripped = f"translate(regexp_replace(lower({expr}), '{punctuation}', '', 'g'), '{OLD}', '{NEW}')"
+    return rf"string_split(trim(regexp_replace({stripped}, '\s+', ' ', 'g')), ' ')"
+
+
 ENTITY = """
 entity0 AS (
   SELECT p_partkey, p_brand, lower(p_type) || ' ' || p_name AS s FROM part),
@@ -109,7 +130,9 @@ def dictionary(suffix: str, names: str, target: str, threshold: float, vectors:
     FROM token{suffix} JOIN vectors a ON token = a.word
     CROSS JOIN {target} JOIN vectors b ON target = b.word""")
     return f"""
-token{suffix} AS (SELECT DISTINCT unnest({dedupe(tokens('name'))}) AS token FROM {names}),
+token{suffix} AS (
+  SELECT DISTINCT token FROM (SELECT unnest({tokens('name')}) AS token FROM {names})
+  WHERE NOT list_contains({STOP}, token)),
 pair{suffix} AS ({' UNION ALL '.join(parts)}),
 dict{suffix} AS (
   SELECT token, target, source, similarity FROM (
@@ -129,9 +152,7 @@ words{suffix} AS (
 text{suffix} AS (
   SELECT name, string_agg(coalesce(target, word), ' ' ORDER BY pos) AS name_corrected
   FROM words{suffix} LEFT JOIN dict{suffix} ON word = token GROUP BY name),
-found{suffix} AS (
-  SELECT name, unnest({dedupe(tokens('name'))}) AS token,
-         generate_subscripts({dedupe(tokens('name'))}, 1) AS pos FROM name{suffix}),
+{first_words('found' + suffix, 'name' + suffix, 'name', tokens('name'))},
 list{suffix} AS (
   SELECT name, string_agg(target, '|' ORDER BY length(token) DESC, pos) AS matched_words,
          string_agg(token, '|' ORDER BY length(token) DESC, pos) AS original_tokens_matched,
@@ -151,14 +172,12 @@ SELECT {names}.*, name_corrected, matched_words, original_tokens_matched, model_
 FROM {names} LEFT JOIN done1 USING (name)"""
 
 
-CLEAN_DOCUMENTS = f"clean_documents AS (SELECT doc_id, {strip_first('text')} AS name FROM documents)"
+CLEAN_DOCUMENTS = rejoined("clean_documents", "documents", "doc_id", stripped_words("text"), "name")
 TURNS = "turns AS (SELECT conv_id, turn, role, text AS name FROM conversations)"
 EDGE = f"[^{WORD}]"
 FREE_TEXT = f"""
 WITH {TURNS}, {TAXONOMY_TARGETS}, {dictionary('1', 'turns', 'target', 0.7)},
-found AS (
-  SELECT conv_id, turn, unnest({dedupe(tokens('name'))}) AS token,
-         generate_subscripts({dedupe(tokens('name'))}, 1) AS pos FROM turns),
+{first_words('found', 'turns', 'conv_id, turn', tokens('name'))},
 lists AS (
   SELECT conv_id, turn, list(token || '|' || target ORDER BY length(token) DESC, pos) AS changes,
          string_agg(target, '|' ORDER BY length(token) DESC, pos) AS matched_words,
@@ -235,17 +254,20 @@ FROM best LEFT JOIN keyword ON matched_type = clean_word"""
 
 
 ORACLES: dict[str, str] = {
-    "clean_strip_first": f"SELECT doc_id, {strip_first('text')} AS text FROM documents",
+    "clean_strip_first": f"WITH {CLEAN_DOCUMENTS} SELECT doc_id, name AS text FROM clean_documents",
     "clean_letters_only": f"""
-SELECT conv_id, turn, role, {strip_first('text', '[^a-z' + chr(92) + 's]')} AS text FROM conversations""",
+WITH {rejoined('cleaned', 'conversations', 'conv_id, turn', stripped_words('text', LETTERS_PATTERN), 'name')}
+SELECT conv_id, turn, role, name AS text FROM conversations JOIN cleaned USING (conv_id, turn)""",
     "clean_fold_first": f"SELECT doc_id, {fold_first('text')} AS text FROM documents",
     "fold_letters": f"SELECT conv_id, turn, {fold('text')} AS folded FROM conversations",
     "match_tokens": f"""
-SELECT doc_id, array_to_string({tokens('text')}, ' ') AS tokens,
-       array_to_string({dedupe(tokens('text'))}, ' ') AS words FROM documents""",
+WITH {rejoined('kept', 'documents', 'doc_id', tokens('text'), 'words')}
+SELECT doc_id, array_to_string({tokens('text')}, ' ') AS tokens, words
+FROM documents JOIN kept USING (doc_id)""",
     "word_difference": f"""
-SELECT conv_id, turn, array_to_string({dedupe("string_split(lower(text), ' ')")}, ' ') AS kept,
-       len({dedupe("string_split(lower(text), ' ')")}) AS n FROM conversations""",
+WITH {rejoined('kept', 'conversations', 'conv_id, turn', "string_split(lower(text), ' ')", 'kept')}
+SELECT conv_id, turn, kept.kept, CAST(count(token) AS INT) AS n
+FROM kept LEFT JOIN kept_words USING (conv_id, turn) GROUP BY ALL""",
     "word_intersection": f"""
 WITH t AS (SELECT conv_id, turn, {tokens('text')} AS words FROM conversations)
 SELECT a.conv_id, a.turn,
@@ -262,8 +284,9 @@ SELECT id, CAST(levenshtein(name, s) AS INT) AS distance,
        round(1 - levenshtein(name, s) / CAST(greatest(length(name), length(s)) AS DOUBLE), 5) AS similarity
 FROM entity JOIN entity0 ON id = CAST(p_partkey AS VARCHAR)""",
     "token_vocabulary": f"""
+WITH {CLEAN_DOCUMENTS}
 SELECT word, count(*) AS n FROM (
-  SELECT unnest({tokens('name')}) AS word FROM (SELECT {strip_first('text')} AS name FROM documents))
+  SELECT unnest({tokens('name')}) AS word FROM clean_documents)
 GROUP BY word HAVING count(*) >= 2""",
     "taxonomy_word_rows": f"WITH {TAXONOMY_WORD_ROWS} SELECT id, degree_name, words FROM word_rows",
     "taxonomy_word_list": f"WITH {TAXONOMY_WORD_ROWS} SELECT DISTINCT words AS target FROM word_rows",
