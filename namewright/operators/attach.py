@@ -35,7 +35,7 @@ def attach(
     dealt = (
         rows.withColumn("_hash", F.xxhash64(key))
         .join(F.broadcast(hot), "_hash", "left")
-        .withColumn("_salt", F.pmod(row_hash, salts))
+        .withColumn("_salt", F.when(salts > 1, F.pmod(row_hash, salts)).otherwise(0))
         .drop("_hash", "_salts")
     )
     repeated = (

@@ -32,8 +32,8 @@ def text_tokens(
     df: DataFrame, column: str, stopwords: Sequence[str] = STOPWORDS, letters: text.Letters = LETTERS
 ) -> DataFrame:
     """The distinct match tokens of a column, as ``token``."""
-    words = text.match_words(F.col(column), stopwords, letters)
-    return df.select(F.explode(words).alias("token")).distinct()
+    tokens = df.select(F.explode(text.match_tokens(F.col(column), letters)).alias("token"))
+    return tokens.where(~F.col("token").isin(*stopwords)).distinct()
 
 
 def correction_dictionary(
