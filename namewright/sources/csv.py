@@ -115,13 +115,18 @@ def read_entities(
 
     Rows with more fields than the header are dropped; shorter ones are padded with nulls.
     """
-    header = _unique(_fields(spark.read.text(path).head().value, delimiter))
+    first = spark.read.text(path).head()
+    if first is None:
+        raise ValueError(f"no content: {path}")
+    header = _unique(_fields(first.value, delimiter))
     scan = _reader(spark, [*header, "_record"], delimiter, multi_line).option(
         "columnNameOfCorruptRecord", "_record"
     )
-    # The raw record is kept only for rows whose number of fields is not that of the header.
-    too_long = _field_count(F.col("_record"), delimiter) > len(header)
-    return scan.csv(path).where(F.col("_record").isNull() | ~too_long).drop("_record")
+    # The raw record is there only for rows whose number of fields is not that of the header.
+    # The length is never negative; it keeps a data column in the scan, which Spark requires.
+    fits = _field_count(F.col("_record"), delimiter) <= len(header)
+    kept = F.coalesce(fits, F.length(header[0]) >= 0, F.lit(True))
+    return scan.csv(path).where(kept).drop("_record")
 
 
 def write_result(df: DataFrame, path: str, mode: str = "overwrite") -> None:
