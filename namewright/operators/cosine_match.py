@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
@@ -38,7 +39,7 @@ def _unit_rows(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
 def _in_rank_order(candidates: pa.Table) -> tuple[pa.Table, np.ndarray]:
     names = [n for n in candidates.column_names if n not in ("rank", "vector")]
     table = candidates.sort_by([(n, "ascending") for n in ("rank", *names)])
-    width = max(table["vector"].combine_chunks().value_lengths().to_pylist(), default=0) or 0
+    width = pc.max(pc.list_value_length(table["vector"])).as_py() or 0
     return table.drop_columns(["vector"]), _unit_rows(table["vector"], width)
 
 
