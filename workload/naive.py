@@ -26,12 +26,6 @@ def fuzzy_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _best_targets(tokens, ["token"], targets, 0.75)
 
 
-def fuzzy_dictionary_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = fuzzy.text_tokens(queries.clean_strip_first(spark, sf_dir), "text")
-    words = taxonomy_words(tables.benchmark_taxonomy(spark, sf_dir))
-    return _best_targets(tokens, ["token"], fuzzy.as_targets(spark, dimensions.distinct_words(words)), 0.8)
-
-
 def _overlap(rows: DataFrame, taxonomy: DataFrame, words: Column) -> DataFrame:
     entries = taxonomy.select(
         F.col("id").alias("master_degree_id"), "degree_name",
@@ -49,11 +43,6 @@ def overlap_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _overlap(tables.specialities(spark, sf_dir), tables.taxonomy(spark, sf_dir), words)
 
 
-def overlap_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = queries.clean_strip_first(spark, sf_dir).withColumnRenamed("doc_id", "id")
-    return _overlap(documents, tables.benchmark_taxonomy(spark, sf_dir), F.split("text", " "))
-
-
 def _corrected(rows: DataFrame, targets: DataFrame, threshold: float) -> DataFrame:
     """Every word of every row against every target; only ``name`` and ``matched`` are kept up."""
     words = rows.select("id", F.posexplode(F.split("name", " ")).alias("p", "token"))
@@ -81,5 +70,5 @@ def classify_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAIVE = {
     f.__name__: f
-    for f in (fuzzy_dictionary, fuzzy_dictionary_documents, overlap_best, overlap_documents, classify_names)
+    for f in (fuzzy_dictionary, overlap_best, classify_names)
 }
