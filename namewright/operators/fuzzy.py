@@ -144,19 +144,19 @@ def correct_words(
 
     Adds ``name_corrected``, ``matched_words``, ``original_tokens_matched`` and ``model_sources``
     (1 = embedding, 3 = edit distance). A text without matches stays as it is with three nulls;
-    a null text gives four nulls. Each distinct token is compared once and each distinct text
-    tokenised once; between the steps a long text travels as its digest.
+    a null text gives four nulls. The distinct texts are staged, so ``df`` is read twice in all;
+    each distinct token is compared once. Between the steps a long text travels as its digest.
     """
     if targets is None or stopwords is None or letters is None:
         raise ValueError("targets, stopwords and letters are required")
-    tokens = text_tokens(df, column, stopwords, letters)
-    ranked = as_targets(df.sparkSession, targets)
-    dictionary = stage(correction_dictionary(tokens, ranked, threshold, vectors), "dictionary")
-
     keyed = df.withColumn("_key", text.digest(F.col(column)))
     texts = keyed.where(F.col(column).isNotNull()).groupBy("_key").agg(
         F.count("*").alias("n_rows"), F.any_value(column).alias("text")
     )
+    texts = stage(texts, "texts")
+    tokens = text_tokens(texts, "text", stopwords, letters)
+    ranked = as_targets(df.sparkSession, targets)
+    dictionary = stage(correction_dictionary(tokens, ranked, threshold, vectors), "dictionary")
     words = text.match_words(F.col("text"), stopwords, letters)
     exploded = texts.select("_key", F.posexplode(words).alias("position", "token"))
     found = exploded.join(dictionary.select("token", "target", "source"), "token")

@@ -73,7 +73,7 @@ class OverlapIndex:
 
     def __init__(self, taxonomy: DataFrame, max_postings: int = MAX_POSTINGS) -> None:
         self.entries = stage(taxonomy_entries(taxonomy), "entries")
-        self.frequent = stage(frequent_words(self.entries, max_postings), "frequent")
+        self.frequent = frequent_words(self.entries, max_postings)
         self.postings = stage(postings(self.entries, self.frequent), "postings")
 
     def best(
@@ -148,6 +148,7 @@ def classify_by_overlap(
     texts = keyed.where(speciality.isNotNull()).groupBy("_key").agg(
         F.count("*").alias("n_rows"), F.any_value(speciality).alias("matched_speciality")
     )
+    texts = stage(texts, "texts")
     index = OverlapIndex(taxonomy)
     best = index.best(texts, ["_key"], tokens)
     matched = attach(keyed, best, texts.select("_key", "n_rows"), "_key", rows_per_split)

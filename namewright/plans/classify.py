@@ -19,9 +19,8 @@ RESULT_COLUMNS = (
 )
 
 
-def _correct(names: DataFrame, column: str, targets: DataFrame, threshold: float,
+def _correct(names: DataFrame, column: str, tokens: DataFrame, targets: DataFrame, threshold: float,
              vectors: DataFrame | None, label: str) -> DataFrame:
-    tokens = fuzzy.text_tokens(names, column)
     dictionary = fuzzy.correction_dictionary(tokens, targets, threshold, vectors)
     return fuzzy.apply_dictionary(names, column, stage(dictionary, label), "|")
 
@@ -48,7 +47,7 @@ def classify(
         punctuation=LETTERS_AND_DIGITS,
     )
     types = keywords.select(F.col("clean_word").alias("target"), F.col(keyword_order).alias("rank"))
-    specialities = stage(dimensions.distinct_words(taxonomy_words(cleaned_taxonomy)), "words")
+    specialities = dimensions.distinct_words(taxonomy_words(cleaned_taxonomy))
     spark = entities.sparkSession
 
     rows = clean_column(
@@ -59,8 +58,8 @@ def classify(
     names = counts.select(F.col("name").alias("_name")).repartition("_name")
 
     typed = _correct(
-        names.withColumn("name", F.col("_name")), "name", fuzzy.as_targets(spark, types),
-        thresholds.category, vectors, "types",
+        names.withColumn("name", F.col("_name")), "name", fuzzy.text_tokens(counts, "name"),
+        fuzzy.as_targets(spark, types), thresholds.category, vectors, "types",
     )
     typed = dimensions.lookup_level(dimensions.first_match(typed), keywords)
     typed = dimensions.rename(
@@ -68,8 +67,8 @@ def classify(
         {"model_sources": "model_source_types", "name_corrected": "name"},
     )
     specified = _correct(
-        typed, "name", fuzzy.as_targets(spark, specialities), thresholds.speciality, vectors,
-        "specialities",
+        typed, "name", fuzzy.text_tokens(typed, "name"), fuzzy.as_targets(spark, specialities),
+        thresholds.speciality, vectors, "specialities",
     )
     specified = dimensions.rename(
         specified.drop("original_tokens_matched"),
