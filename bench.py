@@ -1,7 +1,7 @@
 """Times the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1) holds the tables, ``BENCH_CPUS`` (default 8) sets
-``local[N]``. Each query runs once to warm up and ``BENCH_RUNS`` (default 3) times measured; the
+``local[N]``. Each query runs once to warm up and ``BENCH_RUNS`` (default 1) times measured; the
 median counts and covers building the plan, staging and fetching the whole result. With
 ``BENCH_NAIVE=1`` the brute-force forms are timed too, under ``naive``.
 """
@@ -40,7 +40,7 @@ def timed(run: Callable[[], DataFrame], runs: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
