@@ -72,6 +72,35 @@ def near_dedup(
     Null and empty texts, and texts without a word, are equal only to the same text (null equals null).
     A null id is larger than all others. Repeated rows are copies of each other. Other columns are ignored.
     """
+    grouped = _grouped(documents, id_column, text_column, settings)
+    return grouped.select(
+        F.col("_id").alias(id_column), F.col("_shingles").alias("n_shingles"),
+        F.nullif(F.col("_best.id"), F.lit(2**63 - 1)).alias("component_id"), "kept",
+    )
+
+
+def near_unique(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """The documents, all columns, of which ``near_dedup`` keeps one of each group.
+
+    Rows of the same id and text are first reduced to one, before the shuffle within each task, so a crowd of copies is not one task's
+    work; the shuffle by id and text then serves the join as well. Of repeated rows that differ in other columns any one stays.
+    """
+    kept = _grouped(documents, id_column, text_column, settings).where("kept").select("_id", "_key1", "_key2")
+    keys = {"_id": F.col(id_column).cast("long"), "_text": F.col(text_column).cast("string")}
+    keyed = documents.withColumns(keys).withColumns(_text_keys()).drop("_text")
+    number = {"_id": F.coalesce("_id", F.lit(2**63 - 1))}
+    named = ["_id", "_key1", "_key2"]
+    single = keyed.withColumns(number).dropDuplicates(named)
+    return single.join(kept.withColumns(number), named, "left_semi").select(documents.columns)
+
+
+def _grouped(documents: DataFrame, id_column: str, text_column: str, settings: Settings) -> DataFrame:
+    """(_id, _shingles, _key1, _key2, _best, kept) of every row."""
     rows = documents.select(
         F.col(id_column).cast("long").alias("_id"), F.col(text_column).cast("string").alias("_text")
     )
@@ -96,9 +125,7 @@ def near_dedup(
     best = placed.groupBy("_component").agg(F.min("_first").alias("_best"))
     placed = placed.join(best, "_component").select("_key1", "_key2", "_best")
     return signed.join(placed, ["_key1", "_key2"]).select(
-        F.col("_id").alias(id_column), F.col("_shingles").alias("n_shingles"),
-        F.nullif(F.col("_best.id"), F.lit(2**63 - 1)).alias("component_id"),
-        (F.col("_row") == F.col("_best.row")).alias("kept"),
+        "_id", "_shingles", "_key1", "_key2", "_best", (F.col("_row") == F.col("_best.row")).alias("kept")
     )
 
 

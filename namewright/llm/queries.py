@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from namewright.llm.embedding_dedup import embedding_dedup
+from namewright.llm.license_scan import license_scan
+from namewright.llm.mixing import mix_sources, tempered_targets
 from namewright.llm.near_dedup import near_dedup
+from namewright.llm.packing import best_fit_pack, tokenise
+from namewright.llm.preference import preference_format, rival_replies
+from namewright.llm.quality_classifier import quality_classifier
+from namewright.llm.quality_rules import quality_rules
+from namewright.llm.secret_scan import secret_scan
+from namewright.llm.sharding import shard_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +25,77 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tokenise(_table(spark, sf_dir, "documents"))
+    return best_fit_pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op3_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = rival_replies(_table(spark, sf_dir, "conversations"))
+
+    def spans(mask: str) -> Column:
+        return F.array_join(F.transform(mask, lambda m: F.concat_ws(":", m["begin"].cast("string"), m["end"].cast("string"))), ",")
+
+    made = preference_format(chosen, rejected)
+    return made.withColumns({mask: spans(mask) for mask in ("chosen_mask", "rejected_mask")})
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades from the labels: 0 low quality, 1 toxic, 2 neither."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    return _table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(_table(spark, sf_dir, "documents"), ratings(spark, sf_dir))
+
+
+def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return mix_sources(documents, tempered_targets(documents))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def spans(found: Column) -> Column:
+        places = F.transform(found, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string")))
+        return F.array_join(places, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("findings", lambda f: f["kind"] != "learned")
+    return secret_scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(spans(base), 256).alias("base_sha256"),
+        spans(F.col("findings")).alias("spans"),
+    )
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
+        F.col("place").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op9_near_dedup)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_embedding_dedup, op2_best_fit_packing, op3_preference_formatting, op4_quality_classifier, op5_poisson_mixing,
+        op6_secret_scan, op7_sharding, op8_license_scan, op9_near_dedup, op10_quality_rules,
+    )
+}

@@ -70,6 +70,14 @@ def _hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((summed[ends] - summed[starts]) * _POWERS.down[starts])
 
 
+def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of short spans of ``data``, all of the same length, A-Z taken as a-z."""
+    code = np.zeros(len(starts), dtype=np.uint64)
+    for step in range(int(ends[0] - starts[0]) if len(starts) else 0):
+        code = code * _RADIX + _LOWER[data[starts + step]] + np.uint64(1)
+    return mix(code)
+
+
 def _spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of word bytes; none crosses a row's border."""
     inside = is_word[data]
