@@ -157,7 +157,7 @@ def _common_words(words: Column) -> Column:
 
 
 def jensen_shannon(counts: Column, reference: Column) -> Column:
-    """Distance of a histogram of counts from one of shares; rounded to 12 decimals."""
+    """Distance of a histogram of counts from one of shares; rounded to 6 decimals."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
 
     def part(p: Column, q: Column) -> Column:
@@ -166,4 +166,4 @@ def jensen_shannon(counts: Column, reference: Column) -> Column:
 
     parts = F.zip_with(counts, reference, lambda n, q: part(n / total, q))
     divergence = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2
-    return F.round(F.sqrt(F.greatest(divergence, F.lit(0.0))), 12)
+    return F.round(F.sqrt(F.greatest(divergence, F.lit(0.0))), 6)
