@@ -56,12 +56,12 @@ def mix_sources(
     )
     rates = stage(rates, "rates")
 
-    def hashed(*more: Column) -> Column:
+    def hashed() -> Column:
         parts = [F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (id_column, source_column)), F.md5(F.coalesce(F.col(text_column), F.lit("")))]
-        return F.md5(F.concat_ws(":", *parts, *more))
+        return F.md5(F.concat_ws(":", *parts))
 
-    drawn = documents.select(*columns).join(rates, F.col(source_column).eqNullSafe(F.col("_source")))
-    drawn = drawn.withColumn("_hash", hashed())
+    rows = documents.select(F.struct(*columns).alias("_whole"), F.col(source_column).alias("_own"), hashed().alias("_hash"))
+    drawn = rows.join(rates, F.col("_own").eqNullSafe(F.col("_source")))
     count = F.aggregate(
         F.sequence(F.lit(0), F.col("_draws") - 1), F.lit(0),
         lambda total, draw: total + F.size(F.filter("_cdf", lambda p: p <= uniform(F.md5(F.concat_ws(":", "_hash", draw.cast("string")))))),
@@ -71,7 +71,7 @@ def mix_sources(
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
         .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit("order"), "_hash", F.col("copy").cast("string"))))
     )
-    return copies.select(*columns, "copy", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return copies.select("_whole.*", "copy", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
 def uniform(hashed: Column) -> Column:

@@ -90,13 +90,14 @@ def near_unique(
     Rows of the same id and text are first reduced to one, before the shuffle within each task, so a crowd of copies is not one task's
     work; the shuffle by id and text then serves the join as well. Of repeated rows that differ in other columns any one stays.
     """
-    kept = _grouped(documents, id_column, text_column, settings).where("kept").select("_id", "_key1", "_key2")
-    keys = {"_id": F.col(id_column).cast("long"), "_text": F.col(text_column).cast("string")}
-    keyed = documents.withColumns(keys).withColumns(_text_keys()).drop("_text")
-    number = {"_id": F.coalesce("_id", F.lit(2**63 - 1))}
+    number = F.coalesce("_id", F.lit(2**63 - 1)).alias("_id")
     named = ["_id", "_key1", "_key2"]
-    single = keyed.withColumns(number).dropDuplicates(named)
-    return single.join(kept.withColumns(number), named, "left_semi").select(documents.columns)
+    kept = _grouped(documents, id_column, text_column, settings).where("kept").select(number, "_key1", "_key2")
+    keyed = documents.select(
+        F.struct(*documents.columns).alias("_whole"), F.col(id_column).cast("long").alias("_id"), F.col(text_column).cast("string").alias("_text")
+    )
+    keyed = keyed.withColumns(_text_keys()).select("_whole", number, "_key1", "_key2")
+    return keyed.dropDuplicates(named).join(kept, named, "left_semi").select("_whole.*")
 
 
 def _grouped(documents: DataFrame, id_column: str, text_column: str, settings: Settings) -> DataFrame:

@@ -154,6 +154,6 @@ def grams(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     rolled = np.zeros(n, dtype=np.uint64)
     for step in range(k):
         rolled *= _RADIX
-        rolled[: n - step] += hashes[step:]
+        rolled[: max(n - step, 0)] += hashes[step:]
     left = np.repeat(found.begins[1:], found.counts) - np.arange(n)
     return mix(rolled), left >= k
