@@ -62,10 +62,10 @@ def mix_sources(
 
     rows = documents.select(F.struct(*columns).alias("_whole"), F.col(source_column).alias("_own"), hashed().alias("_hash"))
     drawn = rows.join(rates, F.col("_own").eqNullSafe(F.col("_source")))
-    count = F.aggregate(
-        F.sequence(F.lit(0), F.col("_draws") - 1), F.lit(0),
-        lambda total, draw: total + F.size(F.filter("_cdf", lambda p: p <= uniform(F.md5(F.concat_ws(":", "_hash", draw.cast("string")))))),
+    draws = F.transform(
+        F.sequence(F.lit(0), F.col("_draws") - 1), lambda draw: uniform(F.md5(F.concat_ws(":", "_hash", draw.cast("string"))))
     )
+    count = F.aggregate(draws, F.lit(0), lambda total, u: total + F.size(F.filter("_cdf", lambda p: p <= u)))
     copies = (
         drawn.withColumn("_count", count).where("_count > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
