@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
@@ -23,12 +22,17 @@ DECIMALS = 12
 
 
 def _unit_rows(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
-    """Vectors scaled to length 1; null, empty and all-zero ones become zero rows."""
+    """Vectors scaled to length 1; null, empty and all-zero ones become zero rows.
+
+    Any other width is an error: there is no cosine between vectors of different width.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = np.zeros((len(column), width))
     lengths = np.asarray(column.value_lengths().fill_null(0))
-    filled = lengths == width
+    if width and (wrong := set(lengths[lengths > 0]) - {width}):
+        raise ValueError(f"vectors of width {width} and {wrong.pop()} can't be compared")
+    filled = (lengths > 0) & (lengths == width)
     if width and filled.any():
         values = np.asarray(column.filter(pa.array(filled)).flatten(), dtype=np.float64)
         rows[filled] = values.reshape(-1, width)
@@ -36,13 +40,21 @@ def _unit_rows(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return np.divide(rows, norms, out=rows, where=norms > 0)
 
 
-def _in_rank_order(candidates: pa.Table) -> tuple[pa.Table, np.ndarray]:
+def _in_rank_order(candidates: pa.Table, width: int) -> tuple[pa.Table, np.ndarray]:
     names = [n for n in candidates.column_names if n not in ("rank", "vector")]
     table = candidates.sort_by([(n, "ascending") for n in ("rank", *names)])
-    width = pc.max(pc.list_value_length(table["vector"])).as_py() or 0
     return table.drop_columns(["vector"]), _unit_rows(table["vector"], width)
 
 
+def _size(candidates: DataFrame) -> tuple[int, int]:
+    """Number of candidates and their one width, 0 if none has a vector."""
+    size = F.when(F.size("vector") > 0, F.size("vector"))
+    row = candidates.agg(F.count("*").alias("n"), F.min(size).alias("low"), F.max(size).alias("high")).first()
+    if row["low"] != row["high"]:
+        raise ValueError(f"vectors of width {row['low']} and {row['high']} can't be compared")
+    return row["n"], row["high"] or 0
+
+
 def _best(
     queries: pa.RecordBatch | pa.Table, candidates: pa.Table, matrix: np.ndarray, threshold: float
 ) -> pa.Table:
@@ -80,19 +92,21 @@ def cosine_matches(
     ``similarity``; vectors are left out.
 
     Spark has no cosine built in, and a matrix product in numpy is far cheaper than one expression
-    per pair. Candidates of up to ``broadcast_rows`` rows and 64 MB go to the executors as one
-    matrix and queries stream past it without a shuffle. Beyond that, both sides are cut into
+    per pair. Candidates are staged and counted. Up to ``broadcast_rows`` of them and 64 MB of vectors go to
+    the executors as one matrix and queries stream past it without a shuffle. Beyond that, both sides are cut into
     blocks of bounded size, every pair of blocks meets in one co-group and yields one row per
-    query, and the best of these is aggregated.
+    query, and the best of these is aggregated. Both ways answer alike: all vectors must have one
+    width, otherwise it is an error. Null, empty and all-zero vectors have similarity 0 to all.
     """
     spark = queries.sparkSession
     names = [f for f in queries.schema.fields if f.name != "vector"]
     added = [f for f in candidates.schema.fields if f.name != "vector"]
     schema = StructType(names + added).add("similarity", DoubleType())
 
-    head = candidates.limit(broadcast_rows + 1).toArrow()
-    if head.num_rows <= broadcast_rows and head.nbytes <= BROADCAST_BYTES:
-        shared = spark.sparkContext.broadcast(_in_rank_order(head))
+    candidates = stage(candidates, "candidates")
+    n_candidates, width = _size(candidates)
+    if n_candidates <= broadcast_rows and n_candidates * width * 8 <= BROADCAST_BYTES:
+        shared = spark.sparkContext.broadcast(_in_rank_order(candidates.toArrow(), width))
 
         def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -100,9 +114,9 @@ def cosine_matches(
 
         return queries.mapInArrow(stream, schema)
 
-    queries, candidates = stage(queries, "queries"), stage(candidates, "candidates")
+    queries = stage(queries, "queries")
     query_blocks = max(1, math.ceil(queries.count() / query_block))
-    candidate_blocks = max(1, math.ceil(candidates.count() / candidate_block))
+    candidate_blocks = max(1, math.ceil(n_candidates / candidate_block))
     key = [f.name for f in names]
     placed = queries.withColumn(
         "_query_block", F.pmod(F.xxhash64(*key), F.lit(query_blocks))
@@ -114,7 +128,7 @@ def cosine_matches(
     def block_product(left: pa.Table, right: pa.Table) -> pa.Table:
         own = left.drop_columns(["_query_block", "_candidate_block"])
         other = right.drop_columns(["_query_block", "_candidate_block"])
-        return _best(own, *_in_rank_order(other), threshold)
+        return _best(own, *_in_rank_order(other, width), threshold)
 
     blocks = ["_query_block", "_candidate_block"]
     found = placed.groupBy(*blocks).cogroup(offered.groupBy(*blocks)).applyInArrow(

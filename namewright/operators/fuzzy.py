@@ -116,16 +116,18 @@ def apply_dictionary(
 ) -> DataFrame:
     """Correct a table of unique, short rows by a dictionary (token, target, source).
 
-    Tokens are exploded, joined and grouped back by the table's own columns; an empty token keeps
-    rows without a match. While the dictionary is small enough to broadcast, an input partitioned
+    Tokens are exploded, joined and grouped back by the table's own columns; a marker keeps
+    rows without a match. No token begins with a blank as the marker does, and each row has a marker of its own, so markers spread
+    where the dictionary is too large to broadcast. While it is small enough, an input partitioned
     by any of its columns is not shuffled.
     """
     keys = texts.columns
     words = F.coalesce(text.match_words(F.col(column)), text.word_list(()))
-    marked = F.concat(words, text.word_list(("",)))
+    marker = F.concat(F.lit(" "), F.xxhash64(*keys).cast("string"))
+    marked = F.array_append(words, marker)
     tokens = texts.select(*keys, F.posexplode(marked).alias("position", "token"))
     found = tokens.join(dictionary.select("token", "target", "source"), "token", "left")
-    kept = found.where(F.col("target").isNotNull() | (F.col("token") == ""))
+    kept = found.where(F.col("target").isNotNull() | F.col("token").startswith(" "))
     return _matches(kept, keys).select(*keys, *_correction_columns(column, delimiter))
 
 

@@ -86,8 +86,9 @@ class OverlapIndex:
         """
         common = self.frequent.agg(F.collect_list("token").alias("tokens")).scalar()
         words = F.array_distinct(tokens)
-        # A null token marks each row; it meets no posting.
-        marked = F.array_append(F.coalesce(words, text.word_list(())), F.lit(None).cast("string"))
+        # A marker of its own keeps each row; it begins with a blank, as no word does, and meets no posting.
+        marker = F.concat(F.lit(" "), F.xxhash64(*keys).cast("string"))
+        marked = F.array_append(F.coalesce(words, text.word_list(())), marker)
         # Two steps: beside an explode, the intersection would be evaluated once per word.
         listed = keyed.select(
             *keys,
@@ -97,7 +98,7 @@ class OverlapIndex:
         exploded = listed.select(*keys, "_common", F.explode("_words").alias("token"))
         met = exploded.join(self.postings, "token", "left" if keep_all else "inner")
         if keep_all:
-            met = met.where(F.col("rare").isNotNull() | F.col("token").isNull())
+            met = met.where(F.col("rare").isNotNull() | F.col("token").startswith(" "))
         pairs = met.groupBy(*keys, "_common", "number", "signature").agg(
             F.count_if(F.col("rare")).cast("int").alias("rare_words")
         )

@@ -6,6 +6,7 @@ import csv
 import re
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import PurePosixPath
 from urllib.parse import unquote
 
@@ -17,6 +18,12 @@ from namewright.config import CSV_DELIMITERS
 
 CORPUS_COLUMNS = ("id", "name", "cluster")
 REJECTED_SCHEMA = "file string, reason string"
+#: A longer first line is no header.
+HEADER_BYTES = 1 << 16
+#: Files whose first line is read at the same time.
+HEADER_THREADS = 16
+
+NO_CONTENT, COLUMNS_MISSING, OPEN_QUOTE = "no content", "columns missing", "quote never closed"
 
 
 def _strings(names: Sequence[str]) -> StructType:
@@ -30,32 +37,47 @@ def _fields(line: str, delimiter: str) -> list[str]:
     return next(csv.reader([line.removeprefix("﻿")], delimiter=delimiter), [])
 
 
-def _local_path(uri: str) -> str:
-    """The path of a URI without its escapes; ``file:///x`` and ``file:/x`` become one."""
+def _file_name(uri: str) -> str:
+    return PurePosixPath(unquote(uri)).name
+
+
+def _plain(uri: str) -> str:
+    """A URI without its escapes; ``file:///x`` and ``file:/x`` become one."""
     return re.sub("^file:/+", "file:/", unquote(uri))
 
 
-def _header_lines(spark: SparkSession, folder: str, pattern: str) -> dict[str, str]:
-    """First line per path, from one job; only these lines reach the driver."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
-    numbered = lines.where(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("path"),
-        "value",
-        F.monotonically_increasing_id().alias("number"),
-    )
-    first = numbered.groupBy("path").agg(F.min_by("value", "number").alias("line"))
-    # Empty files have no line and are known from the listing alone.
-    paths = dict.fromkeys(map(_local_path, lines.inputFiles()), "")
-    return paths | {_local_path(row.path): row.line for row in first.collect()}
+def _header_lines(spark: SparkSession, path: str, pattern: str = "*") -> dict[str, str]:
+    """First line per file, of at most HEADER_BYTES; nothing beyond it is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(uri: str) -> str:
+        place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        stream = place.getFileSystem(conf).open(place)
+        try:
+            codec = codecs.getCodec(place)
+            line = jvm.org.apache.hadoop.io.Text()
+            source = stream if codec is None else codec.createInputStream(stream)
+            jvm.org.apache.hadoop.util.LineReader(source).readLine(line, HEADER_BYTES, HEADER_BYTES)
+            return line.toString()
+        finally:
+            stream.close()
+
+    files = spark.read.option("pathGlobFilter", pattern).text(path).inputFiles()
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        return dict(zip(files, pool.map(first_line, files), strict=True))
 
 
 def _reader(spark: SparkSession, names: Sequence[str], delimiter: str, multi_line: bool):
     return (
-        spark.read.schema(_strings(names))
+        spark.read.schema(_strings([*names, "_record"]))
         .option("header", True)
         .option("sep", delimiter)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", "_record")
+        # A pruned row would hide that it has too many or too few fields.
+        .option("columnPruning", False)
     )
 
 
@@ -70,36 +92,71 @@ def _unique(names: Sequence[str]) -> list[str]:
     return result
 
 
+def _quotes(value: Column) -> Column:
+    return F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+
+
+def _open_quote_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Files whose number of quotes is odd: one of them is never closed, or never opened."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(path)
+    counted = lines.select(F.col("_metadata.file_path").alias("path"), _quotes(F.col("value")).alias("n"))
+    return counted.groupBy("path").agg(F.sum("n").alias("n")).where(F.col("n") % 2 == 1).select("path")
+
+
+def _scan(spark: SparkSession, paths: Sequence[str], header: Sequence[str], delimiter: str, multi_line: bool) -> DataFrame:
+    """Rows of files with this header. ``_record`` is the line of rows that have other than its number of fields.
+
+    A line in which a quote is never closed is read again with quotes as plain characters, so that it keeps its fields.
+    """
+    names = _unique(header)
+    # ``value`` and ``_record`` have nothing to do with columns of those names in the file.
+    inner = [f"_column_{i}" for i in range(len(names))]
+    scan = _reader(spark, inner, delimiter, multi_line).csv([_plain(p) for p in paths])
+    plain = F.from_csv("_record", _strings(inner).simpleString()[7:-1].replace(":", " "), {"sep": delimiter, "quote": ""})
+    broken = F.coalesce(_quotes(F.col("_record")) % 2 == 1, F.lit(False))
+    file = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    rows = scan.select(
+        *(F.when(broken, plain[c]).otherwise(F.col(c)).alias(name) for c, name in zip(inner, names, strict=True)),
+        file.alias("_file"), F.col("_record"), broken.alias("_broken"),
+    )
+    return rows
+
+
 def read_corpus(
     spark: SparkSession,
     folder: str,
     columns: Sequence[str] = CORPUS_COLUMNS,
     pattern: str = "*.csv",
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Union of all CSV files of a folder, and the rejected files with a reason.
 
     A file is read with commas, or else with the first of ``; tab |`` whose header holds all
-    ``columns``; a file without such a header is rejected. Files that share header and delimiter
-    are one scan. Rows carry ``source_file``; over-long rows are cut and short ones padded with
-    nulls. ``multi_line`` allows line breaks inside quotes and keeps each file in one task; turn
-    it off for huge files without such breaks. A quote that is never closed takes in the rest of its
-    file (of its line, without ``multi_line``).
+    ``columns``; a file without such a header is rejected. Only the first line of each file is read for that.
+    Files that share header and delimiter are one scan. Rows carry ``source_file``; over-long rows are cut and
+    short ones padded with nulls.
+
+    Files are split by lines, and a line in which a quote is never closed keeps its fields, quotes included:
+    it can't take in the lines after it. ``multi_line`` allows line breaks inside quotes. It keeps each file in one
+    task, and costs a scan for the files whose quotes don't pair up: they are rejected, as their rows can't be told apart.
     """
     layouts: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
     rejected = []
-    for path, line in sorted(_header_lines(spark, folder, pattern).items()):
+    headers = _header_lines(spark, folder, pattern)
+    broken = {_plain(r.path) for r in _open_quote_files(spark, folder, pattern).collect()} if multi_line and headers else set()
+    for path, line in sorted(headers.items()):
         found = [d for d in CSV_DELIMITERS if set(columns) <= set(_fields(line, d))]
-        if found:
-            layouts[found[0], tuple(_fields(line, found[0]))].append(path)
+        if not found:
+            rejected.append((_file_name(path), COLUMNS_MISSING if line.strip() else NO_CONTENT))
+        elif _plain(path) in broken:
+            rejected.append((_file_name(path), OPEN_QUOTE))
         else:
-            rejected.append((PurePosixPath(path).name, "columns missing" if line.strip() else "no content"))
+            layouts[found[0], tuple(_fields(line, found[0]))].append(path)
 
     rows = spark.createDataFrame([], _strings([*columns, "source_file"]))
     for (delimiter, header), paths in layouts.items():
-        scan = _reader(spark, _unique(header), delimiter, multi_line).csv(paths)
-        file = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-        rows = rows.unionByName(scan.select(*columns, file.alias("source_file")))
+        scan = _scan(spark, paths, header, delimiter, multi_line)
+        rows = rows.unionByName(scan.select(*columns, F.col("_file").alias("source_file")))
     return rows, spark.createDataFrame(rejected, REJECTED_SCHEMA)
 
 
@@ -109,24 +166,32 @@ def _field_count(record: Column, delimiter: str) -> Column:
 
 
 def read_entities(
-    spark: SparkSession, path: str, delimiter: str = ",", multi_line: bool = True
+    spark: SparkSession, path: str, delimiter: str = ",", multi_line: bool = False
 ) -> DataFrame:
-    """One CSV data set with a header, all columns as strings.
+    """One CSV data set with a header in each file, all columns as strings.
 
-    Rows with more fields than the header are dropped; shorter ones are padded with nulls.
+    Files may order their columns differently: columns meet by name, and one that a file lacks is null in its rows.
+    Rows with more fields than their header are dropped; shorter ones are padded with nulls. Quotes that are never
+    closed are treated as in ``read_corpus``; with ``multi_line`` such a file is an error.
     """
-    first = spark.read.text(path).head()
-    if first is None:
+    headers = _header_lines(spark, path)
+    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for file, line in sorted(headers.items()):
+        if line.strip():
+            layouts[tuple(_unique(_fields(line, delimiter)))].append(file)
+    if not layouts:
         raise ValueError(f"no content: {path}")
-    header = _unique(_fields(first.value, delimiter))
-    scan = _reader(spark, [*header, "_record"], delimiter, multi_line).option(
-        "columnNameOfCorruptRecord", "_record"
-    )
-    # The raw record is there only for rows whose number of fields is not that of the header.
-    # The length is never negative; it keeps a data column in the scan, which Spark requires.
-    fits = _field_count(F.col("_record"), delimiter) <= len(header)
-    kept = F.coalesce(fits, F.length(header[0]) >= 0, F.lit(True))
-    return scan.csv(path).where(kept).drop("_record")
+    if multi_line and (broken := [row.path for row in _open_quote_files(spark, path, "*").collect()]):
+        raise ValueError(f"{OPEN_QUOTE}: {', '.join(map(_file_name, broken))}")
+    result = None
+    for header, files in layouts.items():
+        scan = _scan(spark, files, header, delimiter, multi_line)
+        # The raw record is there only for rows whose number of fields is not that of the header.
+        fits = F.col("_broken") | (_field_count(F.col("_record"), delimiter) <= len(header))
+        # The length is never negative; it keeps a data column in the scan, which Spark requires.
+        rows = scan.where(F.coalesce(fits, F.length(header[0]) >= 0, F.lit(True))).select(*header)
+        result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
+    return result
 
 
 def write_result(df: DataFrame, path: str, mode: str = "overwrite") -> None:

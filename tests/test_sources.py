@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from namewright.operators import dimensions
-from namewright.plans.training import train_word_vectors
+from namewright.plans.training import train_from_folder, train_word_vectors
 from namewright.sources import csv, tables
 
 
@@ -34,7 +34,7 @@ def test_corpus_with_several_delimiters_and_layouts(spark, folder):
         missing="foo,bar\n1,2\n",
         empty="",
     )
-    corpus, rejected = csv.read_corpus(spark, path)
+    corpus, rejected = csv.read_corpus(spark, path, multi_line=True)
     assert rows(corpus) == [("1", "x", "c"), ("2", 'y, "q"\nz', "d"), ("3", "n,m", "c"), ("4", "w", "k"),
                             ("5", "p", "q")]
     assert {(r.file, r.reason) for r in rejected.collect()} == {
@@ -47,9 +47,33 @@ def test_corpus_cuts_long_rows_and_pads_short_ones(spark, folder):
     assert rows(corpus) == [("1", "a", "b"), ("2", None, None)]
 
 
-def test_corpus_with_an_unclosed_quote_keeps_other_files_whole(spark, folder):
-    corpus, _ = csv.read_corpus(spark, folder(a='id,name,cluster\n1,"x,c\n2,y,d\n', b="id,name,cluster\n3,z,e\n"))
-    assert ("3", "z", "e") in rows(corpus) and len(rows(corpus)) == 2
+def test_corpus_with_an_unclosed_quote_loses_no_row(spark, folder):
+    lines = ["id,name,cluster", '1,"x,c', *(f"{i},y,d" for i in range(2, 1001)), '1001,"closed, well",e', '1002,z,"f']
+    path = folder(a="\n".join(lines) + "\n", b="id,name,cluster\n3000,z,e\n")
+    corpus, rejected = csv.read_corpus(spark, path)
+    found = rows(corpus)
+    assert len(found) == 1003 and rejected.count() == 0
+    assert {("1", '"x', "c"), ("2", "y", "d"), ("1001", "closed, well", "e"), ("3000", "z", "e")} <= set(found)
+
+
+def test_corpus_of_quoted_lines_rejects_files_with_an_unclosed_quote(spark, folder):
+    path = folder(a='id,name,cluster\n1,"x,c\n2,y,d\n', b='id,name,cluster\n3,"z\nz",e\n')
+    corpus, rejected = csv.read_corpus(spark, path, multi_line=True)
+    assert rows(corpus) == [("3", "z\nz", "e")]
+    assert [tuple(r) for r in rejected.collect()] == [("a.csv", csv.OPEN_QUOTE)]
+    with pytest.raises(ValueError, match="a.csv"):
+        csv.read_entities(spark, path, multi_line=True)
+
+
+def test_headers_cost_the_first_bytes_alone(spark, folder):
+    path = folder(a="id,name,cluster\n" + "1,x,c\n" * 1000, b="x" * 200_000, c="")
+    found = {csv._file_name(k): v for k, v in csv._header_lines(spark, path, "*.csv").items()}
+    assert found["a.csv"] == "id,name,cluster" and len(found["b.csv"]) <= csv.HEADER_BYTES and found["c.csv"] == ""
+
+
+def test_entities_meet_by_column_name(spark, folder):
+    path = folder(a="id,name,cluster\n1,x,c\n", b="cluster,id,name\nd,2,y\n", c="id,name\n3,z\n")
+    assert rows(csv.read_entities(spark, path)) == [("1", "x", "c"), ("2", "y", "d"), ("3", "z", None)]
 
 
 def test_corpus_of_no_or_only_bad_files_has_the_declared_columns(spark, folder):
@@ -70,7 +94,7 @@ def test_result_is_quoted_and_reads_back(spark, tmp_path):
     csv.write_result(df.coalesce(1), str(tmp_path / "out"))
     written = "".join(p.read_text("utf-8") for p in (tmp_path / "out").glob("*.csv"))
     assert written.startswith('"id","name","cluster"\n') and '"a""b\nc"' in written
-    assert rows(csv.read_entities(spark, str(tmp_path / "out"))) == rows(df)
+    assert rows(csv.read_entities(spark, str(tmp_path / "out"), multi_line=True)) == rows(df)
 
 
 def test_dimension_has_the_declared_schema(spark, folder):
@@ -87,7 +111,7 @@ def test_vectors_are_required_where_named(spark, tmp_path):
 def test_training_saves_and_loads(spark, tmp_path):
     texts = ["Máster of finance and tax", "finance tax law", "tax law master", None, "rare"] * 1
     corpus = spark.createDataFrame([(t,) for t in texts], "name string")
-    model = train_word_vectors(corpus, vector_size=8, epochs=1)
+    model = train_word_vectors(corpus, 1, vector_size=8, epochs=1)
     tables.write_model(model, str(tmp_path / "model"))
     tables.write_vectors(tables.model_vectors(tables.read_model(str(tmp_path / "model"))), str(tmp_path / "v"))
     vectors = tables.read_vectors(spark, str(tmp_path / "v")).collect()
@@ -95,3 +119,11 @@ def test_training_saves_and_loads(spark, tmp_path):
         corpus.withColumn("name", F.translate(F.lower("name"), "á", "a")), "name").collect()}
     assert {r.word for r in vectors} == expected == {"master", "finance", "tax", "law"}
     assert {len(r.vector) for r in vectors} == {8}
+
+
+def test_training_from_a_folder(spark, folder, tmp_path):
+    path = folder(a="id,name,cluster\n1,tax law,c\n2,tax law,c\n", bad="x\n1\n")
+    model, rejected = train_from_folder(spark, path, str(tmp_path / "model"), 2, vector_size=4, epochs=1)
+    assert {r.word for r in model.getVectors().collect()} == {"tax", "law"}
+    assert [r.file for r in rejected.collect()] == ["bad.csv"]
+    assert tables.read_model(str(tmp_path / "model")).getOrDefault("numPartitions") == 2
