@@ -99,13 +99,16 @@ def _measure(documents: DataFrame, id_column: str, text_column: str, lang_column
     )
     rows = rows.withColumn("_words", F.array_remove(F.split(text, SPACE), ""))
     rows = rows.withColumn("n_words", F.size("_words"))
-    windows = F.when(F.col("n_words") >= 3, F.sort_array(F.transform(
-        F.sequence(F.lit(0), F.col("n_words") - 3),
-        lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("window"), i.alias("place")),
-    )))
+    windows = F.when(F.col("n_words") >= 3, F.transform(
+        F.sequence(F.lit(0), F.col("n_words") - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+    ))
     rows = rows.withColumn("_windows", windows)
+    # Texts without a repeated window, most of them, need no sort.
+    again = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    placed = F.when(again, F.sort_array(F.transform("_windows", lambda w, i: F.struct(w.alias("window"), i.alias("place")))))
+    rows = rows.withColumn("_placed", placed)
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.withColumn("_lines", lines).withColumn("_repeated", _repeated_places(F.col("_windows")))
+    rows = rows.withColumn("_lines", lines).withColumn("_repeated", _repeated_places(F.col("_placed")))
     length = F.length("_text")
 
     def removed(pattern: str) -> Column:
