@@ -58,10 +58,14 @@ def correction_dictionary(
     return matches.groupBy("token").agg(best.alias("best")).select("token", "best.*")
 
 
-def _corrected(name: Column, matches: Column) -> Column:
-    """Replace the first whole-word occurrence of each match in turn, on the running text."""
-    words = F.split(name, " ")
-    changes = F.filter(matches, lambda m: m["token"] != m["target"])
+def _rebuilt(df: DataFrame, column: str) -> DataFrame:
+    """Add ``name_corrected``: each match replaces its first whole-word occurrence in turn, on the running text.
+
+    Most texts are plain: distinct words of letters and digits, none both replaced and inserted. Their words and changes are
+    sorted together, each word takes the change before it, and the words go back to their places: n log n
+    for the longest text. The steps are columns, so that none is evaluated again for every word.
+    """
+    name, words, changes, together = (F.col(c) for c in (column, "_words", "_changes", "_together"))
     plain = (
         ~F.rlike(name, F.lit("[^a-z0-9 ]"))
         & ~F.array_contains(words, "")
@@ -69,19 +73,18 @@ def _corrected(name: Column, matches: Column) -> Column:
         & F.forall(changes, lambda m: F.rlike(m["target"], F.lit("^[a-z0-9]+$")))
         & ~F.arrays_overlap(changes["token"], changes["target"])
     )
-    # Distinct plain words, none both replaced and inserted: blanks mark the one occurrence.
-    spaced = F.aggregate(
-        changes,
-        F.concat(F.lit(" "), name, F.lit(" ")),
-        lambda running, m: F.replace(
-            running,
-            F.concat(F.lit(" "), m["token"], F.lit(" ")),
-            F.concat(F.lit(" "), m["target"], F.lit(" ")),
-        ),
-    )
+    own = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("place"), F.lit(None).cast("string").alias("target")))
+    new = F.transform(changes, lambda m: F.struct(m["token"].alias("word"), F.lit(-1).alias("place"), m["target"].alias("target")))
+
+    def chosen(entry: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(together, i - 1))
+        hit = (before["place"] == -1) & (before["word"] == entry["word"])
+        return F.struct(entry["place"].alias("place"), F.when(hit, before["target"]).otherwise(entry["word"]).alias("word"))
+
+    placed = F.sort_array(F.filter(F.transform(together, chosen), lambda e: e["place"] >= 0))
     blank, edge = F.lit(r"(?isu)^(.*?)(?<!"), text.WORD_CHAR
     general = F.aggregate(
-        matches,
+        F.col("_matches"),
         name,
         lambda running, m: F.regexp_replace(
             running,
@@ -89,7 +92,18 @@ def _corrected(name: Column, matches: Column) -> Column:
             F.concat(F.lit("$1"), F.regexp_replace(m["target"], r"([\\$])", r"\\$1")),
         ),
     )
-    return F.when(plain, F.trim(spaced)).otherwise(general)
+    unchanged = name.isNull() | F.col("_matches").isNull() | (F.size("_matches") == 0)
+    return (
+        df.withColumns({"_words": F.split(name, " "), "_changes": F.filter("_matches", lambda m: m["token"] != m["target"])})
+        .withColumn("_plain", ~unchanged & plain)
+        .withColumn("_together", F.when(F.col("_plain"), F.sort_array(F.concat(own, new))))
+        .withColumn("_placed", F.when(F.col("_plain"), placed))
+        .withColumn(
+            "name_corrected",
+            F.when(unchanged, name).when(F.col("_plain"), F.array_join(F.transform("_placed", lambda e: e["word"]), " ")).otherwise(general),
+        )
+        .drop("_words", "_changes", "_plain", "_together", "_placed")
+    )
 
 
 def _matches(found: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -99,16 +113,18 @@ def _matches(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     return found.groupBy(*keys).agg(F.array_sort(listed).alias("_matches"))
 
 
-def _correction_columns(column: str, delimiter: str) -> list[Column]:
-    name, matches = F.col(column), F.col("_matches")
+def _with_corrections(df: DataFrame, columns: Sequence[str], column: str, delimiter: str) -> DataFrame:
+    """``columns`` and CORRECTION_COLUMNS, from the ``_matches`` of each row."""
+    matches = F.col("_matches")
 
     def listed(field: str) -> Column:
         values = F.transform(matches, lambda m: m[field].cast("string"))
         return F.when(F.size(matches) > 0, F.concat_ws(delimiter, values))
 
-    corrected = F.when(name.isNull() | matches.isNull(), name).otherwise(_corrected(name, matches))
-    columns = (corrected, listed("target"), listed("token"), listed("source"))
-    return [c.alias(n) for c, n in zip(columns, CORRECTION_COLUMNS, strict=True)]
+    added = (listed("target"), listed("token"), listed("source"))
+    return _rebuilt(df, column).select(
+        *columns, "name_corrected", *(c.alias(n) for c, n in zip(added, CORRECTION_COLUMNS[1:], strict=True))
+    )
 
 
 def apply_dictionary(
@@ -128,7 +144,7 @@ def apply_dictionary(
     tokens = texts.select(*keys, F.posexplode(marked).alias("position", "token"))
     found = tokens.join(dictionary.select("token", "target", "source"), "token", "left")
     kept = found.where(F.col("target").isNotNull() | F.col("token").startswith(" "))
-    return _matches(kept, keys).select(*keys, *_correction_columns(column, delimiter))
+    return _with_corrections(_matches(kept, keys), keys, column, delimiter)
 
 
 def correct_words(
@@ -146,23 +162,21 @@ def correct_words(
 
     Adds ``name_corrected``, ``matched_words``, ``original_tokens_matched`` and ``model_sources``
     (1 = embedding, 3 = edit distance). A text without matches stays as it is with three nulls;
-    a null text gives four nulls. The distinct texts are staged, so ``df`` is read twice in all;
-    each distinct token is compared once. Between the steps a long text travels as its digest.
+    a null text gives four nulls. Each distinct token is compared once.
+
+    Texts stay where they are until the final join: only their tokens, the matched ones deduplicated per text, and
+    their digests are shuffled, and no table with the texts is written. ``df`` is read once for each of these and once for
+    the result; stage it first if it is costly to compute.
     """
     if targets is None or stopwords is None or letters is None:
         raise ValueError("targets, stopwords and letters are required")
-    keyed = df.withColumn("_key", text.digest(F.col(column)))
-    texts = keyed.where(F.col(column).isNotNull()).groupBy("_key").agg(
-        F.count("*").alias("n_rows"), F.any_value(column).alias("text")
-    )
-    texts = stage(texts, "texts")
-    tokens = text_tokens(texts, "text", stopwords, letters)
     ranked = as_targets(df.sparkSession, targets)
+    tokens = text_tokens(df, column, stopwords, letters)
     dictionary = stage(correction_dictionary(tokens, ranked, threshold, vectors), "dictionary")
-    words = text.match_words(F.col("text"), stopwords, letters)
-    exploded = texts.select("_key", F.posexplode(words).alias("position", "token"))
-    found = exploded.join(dictionary.select("token", "target", "source"), "token")
-    joined = attach(
-        keyed, _matches(found, ["_key"]), texts.select("_key", "n_rows"), "_key", rows_per_split
-    )
-    return joined.select(*df.columns, *_correction_columns(column, delimiter))
+    keyed = df.withColumn("_key", text.digest(F.col(column)))
+    counts = keyed.where(F.col(column).isNotNull()).groupBy("_key").agg(F.count("*").alias("n_rows"))
+    words = text.match_words(F.col(column), stopwords, letters)
+    exploded = keyed.select("_key", F.posexplode(words).alias("position", "token"))
+    found = exploded.join(dictionary.select("token", "target", "source"), "token").distinct()
+    joined = attach(keyed, _matches(found, ["_key"]), counts, "_key", rows_per_split)
+    return _with_corrections(joined, df.columns, column, delimiter)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewright.config import LETTERS_AND_DIGITS, Thresholds
@@ -11,6 +11,7 @@ from namewright.operators import dimensions, fuzzy
 from namewright.operators.attach import ROWS_PER_SPLIT, attach
 from namewright.operators.cleaning import clean_column, taxonomy_words
 from namewright.operators.overlap import OverlapIndex, best_per_id, gate
+from namewright.sources import csv, tables
 from namewright.sources.staging import stage
 
 RESULT_COLUMNS = (
@@ -29,15 +30,16 @@ def classify(
     entities: DataFrame,
     keywords: DataFrame,
     taxonomy: DataFrame,
+    keyword_order: str,
     vectors: DataFrame | None = None,
     thresholds: Thresholds = Thresholds(),
-    keyword_order: str = "type",
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Clean, correct and classify ``entities`` (id, name, cluster); one row per id.
 
     ``keywords`` (clean_word, type) give the level, ``taxonomy`` (id, degree_name) the degree.
-    The first keyword row per word in ``keyword_order`` counts. All work runs once per distinct
+    The first keyword row per word in ``keyword_order`` counts, and a lower one wins ties of similarity: name the
+    column that holds the load order (``read_dimension`` adds one), as rows have no order of their own. All work runs once per distinct
     cleaned name, partitioned by name from the first correction to the taxonomy match, and is
     joined to the rows at the end.
     """
@@ -56,9 +58,12 @@ def classify(
     )
     counts = stage(rows.groupBy("name").agg(F.count("*").alias("n_rows")), "names")
     names = counts.select(F.col("name").alias("_name")).repartition("_name")
+    # What the first correction inserts are words of its targets: the second needs no look at its result.
+    tokens = fuzzy.text_tokens(counts, "name")
+    more = tokens.union(fuzzy.text_tokens(types.withColumnRenamed("target", "name"), "name")).distinct()
 
     typed = _correct(
-        names.withColumn("name", F.col("_name")), "name", fuzzy.text_tokens(counts, "name"),
+        names.withColumn("name", F.col("_name")), "name", tokens,
         fuzzy.as_targets(spark, types), thresholds.category, vectors, "types",
     )
     typed = dimensions.lookup_level(dimensions.first_match(typed), keywords)
@@ -67,7 +72,7 @@ def classify(
         {"model_sources": "model_source_types", "name_corrected": "name"},
     )
     specified = _correct(
-        typed, "name", fuzzy.text_tokens(typed, "name"), fuzzy.as_targets(spark, specialities),
+        typed, "name", more, fuzzy.as_targets(spark, specialities),
         thresholds.speciality, vectors, "specialities",
     )
     specified = dimensions.rename(
@@ -94,3 +99,19 @@ def classify(
         "master_tokens": text.render_list(F.col("master_tokens")),
     })
     return shaped.select(*RESULT_COLUMNS)
+
+
+def classify_files(
+    spark: SparkSession,
+    entities: str,
+    keywords: str,
+    taxonomy: str,
+    result: str,
+    vectors: DataFrame | None = None,
+    thresholds: Thresholds = Thresholds(),
+) -> None:
+    """``classify`` from CSV to CSV: paths of the entities, the keywords (in load order) and the taxonomy, and of the result."""
+    rows = csv.read_entities(spark, entities)
+    ordered = tables.read_dimension(spark, keywords, tables.KEYWORD_SCHEMA, order_column="load_order")
+    degrees = tables.read_dimension(spark, taxonomy, tables.TAXONOMY_SCHEMA)
+    csv.write_result(classify(rows, ordered, degrees, "load_order", vectors, thresholds), result)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from namewright.config import Thresholds
 from namewright.operators import dimensions
 from namewright.operators.attach import attach
-from namewright.plans.classify import RESULT_COLUMNS, classify
+from namewright.plans.classify import RESULT_COLUMNS, classify, classify_files
+from namewright.sources import csv
 
 ENTITIES = "id int, name string, cluster string"
 
@@ -88,3 +89,28 @@ def test_attach_spreads_a_hot_key_and_keeps_every_row(spark):
     expected = rows.withColumn("v", F.when(F.col("key") != "k3", F.upper("key")))
     assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
     assert joined.columns == ["id", "key", "v"]
+
+
+def test_attach_spreads_rows_without_key(spark):
+    rows = spark.createDataFrame([(None if i % 10 else str(i), i) for i in range(20_000)], "key string, n int")
+    results = spark.createDataFrame([("0", "found")], "key string, result string")
+    counts = rows.where("key IS NOT NULL").groupBy("key").count().withColumnRenamed("count", "n_rows")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("false", "-1", "8"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        sizes = attach(rows, results, counts, "key", 100).rdd.glom().map(len).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * 20_000 / 8
+
+
+def test_load_order_decides_and_not_the_alphabet(spark, tmp_path):
+    (tmp_path / "keywords.csv").write_text("clean_word,type\nmaster,Postgraduate\nmaster,Level 7\n")
+    (tmp_path / "entities.csv").write_text("id,name,cluster\n1,Master of Civil Law,k\n")
+    (tmp_path / "taxonomy.csv").write_text("id,degree_name\n5,Civil Law\n")
+    paths = [str(tmp_path / f"{n}.csv") for n in ("entities", "keywords", "taxonomy")]
+    classify_files(spark, *paths, str(tmp_path / "out"))
+    (row,) = csv.read_entities(spark, str(tmp_path / "out")).collect()
+    assert (row.degree_level, row.degree_name) == ("Postgraduate", "civil law")

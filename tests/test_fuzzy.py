@@ -125,3 +125,33 @@ def test_no_python_and_no_cross_join_in_the_plan(spark):
     plan = corrected(df, ["finance"])._jdf.queryExecution().toString()
     for operator in ("EvalPython", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in plan
+
+
+def test_texts_stay_in_place_until_the_final_join(spark, monkeypatch):
+    staged = []
+    whole = fuzzy.stage
+    monkeypatch.setattr(fuzzy, "stage", lambda df, name: staged.append(df.columns) or whole(df, name))
+    rows = spark.createDataFrame([("fnance tax", 1), ("law", 2)], "name string, n int")
+    fuzzy.correct_words(rows, "name", ["finance"], [], (), 0.7).collect()
+    assert staged and all("name" not in columns and "text" not in columns for columns in staged)
+
+
+def test_replacement_is_not_quadratic(spark):
+    import time
+
+    def seconds(n):
+        words = [f"wrd{i:05d}" for i in range(n)]
+        matches = [(-8, i, w, w.replace("wrd", "word"), 3) for i, w in enumerate(words)]
+        schema = "name string, _matches array<struct<order int, position int, token string, target string, source int>>"
+        df = spark.createDataFrame([(" ".join(words), matches)], schema)
+        best = float("inf")
+        for _ in range(3):
+            start = time.perf_counter()
+            (row,) = fuzzy._with_corrections(df, ["name"], "name", ",").collect()
+            best = min(best, time.perf_counter() - start)
+        assert row.name_corrected == " ".join(w.replace("wrd", "word") for w in words)
+        return best
+
+    seconds(500)
+    small, large = seconds(5_000), seconds(20_000)
+    assert large < 6 * small + 1

@@ -394,4 +394,20 @@ GROUP BY word HAVING count(*) >= 2""",
     "csv_round_trip": "SELECT conv_id, turn, role, text FROM conversations",
     "corpus_from_csv": f"WITH {ENTITY} SELECT id, name, cluster FROM entity",
     "dimension_from_csv": f"WITH {TAXONOMY} SELECT id, degree_name FROM taxonomy",
+    "word2vec_neighbours": f"""
+WITH vocabulary AS (
+  SELECT word FROM (SELECT unnest({tokens('name')}) AS word FROM (SELECT {fold_first('text')} AS name FROM documents))
+  GROUP BY word HAVING count(*) >= 2)
+SELECT least(10, count(*) - 1) AS n_neighbours, least(10, count(*) - 1) AS n_known, 0::BIGINT AS n_itself, 0::BIGINT AS n_out_of_order
+FROM vocabulary""",
+    "corpus_with_bad_quotes": f"""
+WITH {ENTITY}
+SELECT id, CASE WHEN id::BIGINT % 5 = 0 THEN '"' || name ELSE name END AS name,
+       CASE WHEN id::BIGINT % 7 = 2 THEN NULL ELSE cluster END AS cluster FROM entity""",
+    "corpus_rejects": "SELECT 'columns missing' AS reason, (count(*) > 0)::BIGINT AS n_files FROM part",
+    "entities_of_several_layouts": f"""
+WITH {ENTITY}
+SELECT id, name, CASE WHEN name < 'h' OR name >= 'q' THEN cluster END AS cluster FROM entity""",
 }
+ORACLES["classify_from_files"] = ORACLES["classify_names"]
+ORACLES["cosine_best_in_blocks"] = ORACLES["cosine_best"]

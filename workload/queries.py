@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from namewright.config import LETTERS, LETTERS_AND_DIGITS, STOPWORDS, Thresholds
@@ -12,13 +12,15 @@ from namewright.functions import similarity, text
 from namewright.operators import dimensions, fuzzy, overlap, vector_match
 from namewright.operators.cleaning import clean_column, taxonomy_words
 from namewright.operators.cosine_match import cosine_matches
-from namewright.plans.classify import classify
+from namewright.plans.classify import classify, classify_files
 from namewright.plans.training import train_word_vectors
 from namewright.sources import csv, staging, tables
 from workload import tables as given
 from workload.tables import table
 
 ROUND = 5
+#: Parts trained at once; fixed, as the vectors depend on it.
+TRAINING_PARTS = 8
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -233,7 +235,7 @@ def overlap_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _classify(spark: SparkSession, sf_dir: str, vectors: DataFrame | None, speciality: float) -> DataFrame:
     return classify(
         given.entities(spark, sf_dir), given.keyword_rows(spark, sf_dir), given.taxonomy(spark, sf_dir),
-        vectors, Thresholds(0.75, speciality, 2), keyword_order="load_order",
+        "load_order", vectors, Thresholds(0.75, speciality, 2),
     )
 
 
@@ -246,6 +248,18 @@ def classify_names_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classify(spark, sf_dir, vectors, 0.75)
 
 
+def classify_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from CSV to CSV; the keywords count in the order of their file."""
+    entities, keywords, degrees, result = (_scratch(spark, n) for n in ("entities", "keywords", "degrees", "result"))
+    csv.write_result(given.entities(spark, sf_dir), entities)
+    ordered = given.keyword_rows(spark, sf_dir).repartitionByRange(3, "load_order").sortWithinPartitions("load_order")
+    csv.write_result(ordered.select("clean_word", "type"), keywords)
+    csv.write_result(given.taxonomy(spark, sf_dir), degrees)
+    classify_files(spark, entities, keywords, degrees, result, thresholds=Thresholds(0.75, 0.8, 2))
+    read = csv.read_entities(spark, result)
+    return read.withColumn("match_score", F.col("match_score").cast("int"))
+
+
 # Vectors
 
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,6 +277,14 @@ def cosine_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("vec_id", "best_label", F.round("similarity", ROUND).alias("similarity"))
 
 
+def cosine_best_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through many small blocks of both sides."""
+    vectors, firsts = given.labelled_vectors(spark, sf_dir)
+    best = cosine_matches(vectors, firsts, 0.1, broadcast_rows=0, candidate_block=3, query_block=150)
+    joined = vectors.select("vec_id").join(best, "vec_id", "left")
+    return joined.select("vec_id", "best_label", F.round("similarity", ROUND).alias("similarity"))
+
+
 def mean_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = vector_match.mean_vectors(table(spark, sf_dir, "embeddings"), ["label"], "embedding")
     return means.select("label", F.posexplode("vector").alias("position", "value")).withColumn(
@@ -296,8 +318,7 @@ def nearest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(F.col("text").alias("name"))
-    parts = spark.sparkContext.defaultParallelism
-    model = train_word_vectors(documents, partitions=parts)
+    model = train_word_vectors(documents, TRAINING_PARTS)
     path = _scratch(spark, "model")
     tables.write_model(model, path)
     vectors = _scratch(spark, "vectors")
@@ -311,10 +332,17 @@ def word2vec_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word2vec_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten neighbours, by the trained vectors, of the most frequent word."""
-    vocabulary = token_vocabulary(spark, sf_dir)
-    word = vocabulary.orderBy(F.desc("n"), "word").head().word
-    return vector_match.nearest_words(_trained(spark, sf_dir), word, 10)
+    """What holds of the ten neighbours, by the trained vectors, of the most frequent word."""
+    vocabulary = staging.stage(token_vocabulary(spark, sf_dir), "vocabulary")
+    vectors = _trained(spark, sf_dir)
+    word = vocabulary.orderBy(F.desc("n"), "word").first()["word"]
+    found = vector_match.nearest_words(vectors, word, 10).withColumn("place", F.monotonically_increasing_id())
+    found = found.join(vectors.select("word", F.lit(True).alias("known")), "word", "left")
+    before = F.lag("similarity").over(Window.orderBy("place"))
+    return found.withColumn("before", before).agg(
+        F.count("*").alias("n_neighbours"), F.count("known").alias("n_known"), F.count_if(F.col("word") == word).alias("n_itself"),
+        F.count_if(F.col("similarity") > F.col("before")).alias("n_out_of_order"),
+    )
 
 
 # Sources and sinks
@@ -323,7 +351,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations written as quoted CSV and read back with line breaks and quotes intact."""
     path = _scratch(spark, "result")
     csv.write_result(table(spark, sf_dir, "conversations"), path)
-    read = csv.read_entities(spark, path)
+    read = csv.read_entities(spark, path, multi_line=True)
     return read.withColumns({k: F.col(k).cast("bigint") for k in ("conv_id", "turn")})
 
 
@@ -340,6 +368,46 @@ def corpus_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.select("id", "name", "cluster")
 
 
+def _damaged_corpus(spark: SparkSession, sf_dir: str) -> str:
+    """Lines of the parts in one folder: some with a quote never closed, some too long, some too short; and a file of another kind."""
+    folder = _scratch(spark, "damaged")
+    key = F.col("id").cast("bigint")
+    name = F.when(key % 5 == 0, F.concat(F.lit('"'), "name")).otherwise(F.col("name"))
+    cluster = F.when(key % 7 == 1, F.concat("cluster", F.lit(",more"))).otherwise(F.col("cluster"))
+    rest = F.when(key % 7 == 2, F.lit("")).otherwise(F.concat(F.lit(","), cluster))
+    body = given.entities(spark, sf_dir).select(F.concat("id", F.lit(","), name, rest).alias("value"), key.alias("key"))
+    header = body.agg(F.lit("id,name,cluster").alias("value"), F.lit(0).cast("bigint").alias("key"))
+    lines = header.union(body).repartition(1).sortWithinPartitions("key")
+    lines.select("value").write.mode("append").option("compression", "none").text(f"{folder}/whole.csv")
+    other = body.agg(F.concat(F.lit("foo,bar,"), F.count("*").cast("string")).alias("value"))
+    other.write.mode("append").text(f"{folder}/other.csv")
+    return folder
+
+
+def _read_damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return csv.read_corpus(spark, f"{_damaged_corpus(spark, sf_dir)}/*", pattern="*.txt")
+
+
+def corpus_with_bad_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unclosed quotes cost no row; long rows are cut, short ones padded."""
+    return _read_damaged(spark, sf_dir)[0].select("id", "name", "cluster")
+
+
+def corpus_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many files are rejected, by reason."""
+    return _read_damaged(spark, sf_dir)[1].groupBy("reason").agg(F.count("*").alias("n_files"))
+
+
+def entities_of_several_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with their columns in different order, and one without a column."""
+    folder = _scratch(spark, "layouts")
+    rows = given.entities(spark, sf_dir)
+    early, late = F.col("name") < "h", F.col("name") >= "q"
+    for part, columns in ((early, ("id", "name", "cluster")), (late, ("cluster", "id", "name")), (~early & ~late, ("name", "id"))):
+        csv.write_result(rows.where(part).select(*columns), folder, "append")
+    return csv.read_entities(spark, folder).select("id", "name", "cluster")
+
+
 def dimension_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "taxonomy")
     csv.write_result(given.taxonomy(spark, sf_dir), path)
@@ -358,5 +426,6 @@ QUERIES = {
         overlap_documents, classify_names, classify_names_with_vectors, cosine_pairs, cosine_best,
         mean_vector, word_mean_vector, match_by_vector, nearest_words, word2vec_vocabulary,
         word2vec_neighbours, csv_round_trip, corpus_from_csv, dimension_from_csv,
+        classify_from_files, cosine_best_in_blocks, corpus_with_bad_quotes, corpus_rejects, entities_of_several_layouts,
     )
 }
