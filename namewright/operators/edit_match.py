@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namewright.config import TOKEN_LENGTHS
-from namewright.functions.similarity import edit_similarity
 
 EPSILON = 1e-9
 
@@ -83,7 +82,8 @@ def edit_matches(
     """All (token, target, rank, similarity) with edit similarity of at least ``threshold``.
 
     ``tokens`` has distinct ``token``s whose length lies within ``lengths``; ``targets`` has
-    (target, rank). A pair comes once per shared segment, so callers aggregate.
+    (target, rank). A pair comes once per shared segment, so callers aggregate. The distance is
+    computed no further than the edits that the threshold allows.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
@@ -93,7 +93,8 @@ def edit_matches(
     pairs = _token_pieces(tokens, threshold).join(
         pieces, ["token_length", "target_length", "segment", "piece"]
     )
-    scored = pairs.select(
-        "token", "target", "rank", edit_similarity(F.col("token"), F.col("target")).alias("similarity")
-    )
+    distance = F.call_function("levenshtein", F.col("token"), F.col("target"), _max_edits(threshold))
+    longer = F.greatest("token_length", "target_length")
+    near = pairs.withColumn("_distance", distance).where(F.col("_distance") >= 0)
+    scored = near.select("token", "target", "rank", (1 - F.col("_distance") / longer).alias("similarity"))
     return scored.where(F.col("similarity") >= threshold)

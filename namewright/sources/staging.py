@@ -24,14 +24,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/namewright-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete what this application has staged; results that still read it must be written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a scan of it.
 
     Meant for dictionaries and dimensions. The scan has a real file size, so Spark itself decides
     by its broadcast threshold between a broadcast and a shuffled join, and in the second case
     both inputs are plain exchanges that adaptive execution can split when a key is skewed. The
-    files also cut the lineage and survive the loss of executors.
+    files also cut the lineage and survive the loss of executors. ``clean_up`` deletes them.
     """
-    path = f"{shared_folder(df.sparkSession)}/namewright/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from namewright.operators import dimensions
 from namewright.plans.training import train_from_folder, train_word_vectors
-from namewright.sources import csv, tables
+from namewright.sources import csv, staging, tables
 
 
 @pytest.fixture
@@ -127,3 +129,12 @@ def test_training_from_a_folder(spark, folder, tmp_path):
     assert {r.word for r in model.getVectors().collect()} == {"tax", "law"}
     assert [r.file for r in rejected.collect()] == ["bad.csv"]
     assert tables.read_model(str(tmp_path / "model")).getOrDefault("numPartitions") == 2
+
+
+def test_staged_tables_can_be_deleted(spark):
+    staged = staging.stage(spark.range(5).toDF("n"), "numbers")
+    assert staged.count() == 5
+    folder = Path(staging.run_folder(spark))
+    assert any(folder.iterdir())
+    staging.clean_up(spark)
+    assert not folder.exists()

@@ -24,7 +24,7 @@ TRAINING_PARTS = 8
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{staging.shared_folder(spark)}/namewright/{name}-{uuid.uuid4().hex}"
+    return f"{staging.run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # Text functions
