@@ -11,6 +11,8 @@ from namewright.sources.staging import stage
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
+#: ASCII characters that are no letter, digit or space.
+MARKS = r"[\x00-\x08\x0E-\x1F!-/:-@\[-`{-\x7F]+"
 
 #: Common words of each language; fixed values.
 COMMON_WORDS = {
@@ -98,7 +100,9 @@ def _measure(documents: DataFrame, id_column: str, text_column: str, lang_column
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("_text"),
     )
     rows = rows.withColumn("_words", F.array_remove(F.split(text, SPACE), ""))
-    rows = rows.withColumn("n_words", F.size("_words"))
+    # The few words that are common in any language are counted one by one; all words are looked at once.
+    known = F.filter("_words", lambda word: word.isin(*sorted({w for listed in COMMON_WORDS.values() for w in listed})))
+    rows = rows.withColumns({"n_words": F.size("_words"), "_known": known})
     windows = F.when(F.col("n_words") >= 3, F.transform(
         F.sequence(F.lit(0), F.col("n_words") - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
     ))
@@ -115,15 +119,15 @@ def _measure(documents: DataFrame, id_column: str, text_column: str, lang_column
         return length - F.length(F.regexp_replace("_text", pattern, ""))
 
     classes = {
-        "_length": length, "_lower": removed("[a-z]+"), "_upper": removed("[A-Z]+"), "_digit": removed("[0-9]+"),
+        "_length": length, "_mark": removed(MARKS), "_upper": removed("[A-Z]+"), "_digit": removed("[0-9]+"),
         "_wide": removed(r"[^\x00-\x7F]+"), "word_chars": F.length(F.array_join("_words", "")),
         "n_symbols": removed(SYMBOLS), "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": _covered(F.col("_repeated")), "_common": _common_words(words),
+        "n_repeat_words": _covered(F.col("_repeated")), "_common": _common_words(F.col("_known"), F.col("n_words")),
     }
     rows = rows.withColumns(classes)
     space = F.col("_length") - F.col("word_chars")
-    marks = F.col("word_chars") - F.col("_lower") - F.col("_upper") - F.col("_digit") - F.col("_wide")
-    bins = F.array(*(c.cast("long") for c in (F.col("_lower"), F.col("_upper"), F.col("_digit"), space, F.col("_wide"), marks)))
+    lower = F.col("word_chars") - F.col("_mark") - F.col("_upper") - F.col("_digit") - F.col("_wide")
+    bins = F.array(*(c.cast("long") for c in (lower, F.col("_upper"), F.col("_digit"), space, F.col("_wide"), F.col("_mark"))))
     return rows.select(
         "_id", "lang", "_length", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", bins.alias("_chars"), "_common",
         F.coalesce(F.col("lang").isin(*COMMON_WORDS), F.lit(False)).alias("_listed"),
@@ -147,15 +151,15 @@ def _covered(places: Column) -> Column:
     return F.coalesce(F.aggregate(steps, F.lit(0), lambda a, x: a + x), F.lit(0))
 
 
-def _common_words(words: Column) -> Column:
+def _common_words(known: Column, n_words: Column) -> Column:
     """Counts of the language's common words, then of all other words."""
     def counts(lang: str) -> Column:
-        return F.array(*(F.size(words) - F.size(F.array_remove(words, word)) for word in COMMON_WORDS[lang]))
+        return F.array(*(F.size(known) - F.size(F.array_remove(known, word)) for word in COMMON_WORDS[lang]))
 
     chosen = F.array(*[F.lit(0)] * N_COMMON)
     for lang in COMMON_WORDS:
         chosen = F.when(F.col("lang") == lang, counts(lang)).otherwise(chosen)
-    rest = F.size(words) - F.aggregate(chosen, F.lit(0), lambda a, x: a + x)
+    rest = n_words - F.aggregate(chosen, F.lit(0), lambda a, x: a + x)
     return F.concat(chosen, F.array(rest)).cast("array<bigint>")
 
 
