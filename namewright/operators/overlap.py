@@ -13,6 +13,8 @@ from namewright.operators.attach import ROWS_PER_SPLIT, attach
 from namewright.sources.staging import stage
 
 MAX_POSTINGS = 1_000
+#: Frequent words of a text or an entry up to which all their sets are looked up.
+MAX_SUBSET = 8
 
 
 def taxonomy_entries(taxonomy: DataFrame) -> DataFrame:
@@ -36,45 +38,92 @@ def taxonomy_entries(taxonomy: DataFrame) -> DataFrame:
     return ordered.withColumn("number", F.monotonically_increasing_id())
 
 
-def frequent_words(entries: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
-    """Words in more than ``max_postings`` entries; at most ``total words / max_postings``."""
-    counted = entries.select(F.explode("words").alias("token")).groupBy("token").count()
-    return counted.where(F.col("count") > max_postings).select("token")
+def word_kinds(entries: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
+    """(token, frequent) of the taxonomy's words; frequent ones are in more than ``max_postings`` entries."""
+    counted = entries.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return counted.select("token", (F.col("n") > max_postings).alias("frequent"))
 
 
-def postings(entries: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The inverted index (token, rare, signature, number) that leads a text to its best entry.
-
-    A rare word lists all its entries. A frequent one would list a large part of the taxonomy;
-    among entries with the same frequent words (the same ``signature``) only rare words make a
-    difference, and any rare word shared with a text leads to its entry anyway. So a frequent
-    word lists just the lowest entry of each signature.
-    """
-    exploded = entries.select("number", F.explode("words").alias("token"))
-    flagged = exploded.join(
-        F.broadcast(frequent.withColumn("frequent", F.lit(True))), "token", "left"
-    )
-    signed = flagged.groupBy("number").agg(
+def signed_entries(entries: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(number, signature, others): the frequent words of each entry, sorted, and its other words."""
+    exploded = entries.select("number", F.explode("words").alias("token")).join(kinds, "token")
+    return exploded.groupBy("number").agg(
         F.array_sort(F.collect_list(F.when(F.col("frequent"), F.col("token")))).alias("signature"),
-        F.collect_list(F.when(F.col("frequent").isNull(), F.col("token"))).alias("others"),
+        F.collect_list(F.when(~F.col("frequent"), F.col("token"))).alias("others"),
     )
-    rare = signed.select(
-        F.explode("others").alias("token"), F.lit(True).alias("rare"), "signature", "number"
-    )
-    lowest = signed.groupBy("signature").agg(F.min("number").alias("number"))
-    common = lowest.select(
-        F.explode("signature").alias("token"), F.lit(False).alias("rare"), "signature", "number"
-    )
-    return rare.unionByName(common)
+
+
+def _subsets(words: Column) -> Column:
+    """All sets of one or more of the sorted words, each joined by blanks."""
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(words)).cast("int") - 1)
+
+    def chosen(mask: Column) -> Column:
+        picked = F.filter(words, lambda _, i: (F.floor(mask / F.pow(F.lit(2), i)).cast("int") % 2) == 1)
+        return F.concat_ws(" ", picked)
+
+    return F.transform(masks, chosen)
 
 
 class OverlapIndex:
-    """The staged tables of a taxonomy: entries, and postings per word."""
+    """The staged tables that lead from the words of a text to its best entry.
+
+    A rare word, in at most ``max_postings`` entries, lists them all. Frequent words would list a large part of the taxonomy;
+    among entries that share no rare word with a text only the frequent ones count. Up to ``max_subset`` of them are looked up as sets:
+    each set of an entry's frequent words lists the lowest entry that has it, so a text's largest set that is
+    listed is its best overlap, found in at most ``2 ** max_subset`` look-ups however large the taxonomy is. Entries with more frequent words
+    than that are listed per word, once for each combination of frequent words; they, and for texts with more frequent words
+    all combinations, are compared one by one. The result is exact in every case.
+    """
 
-    def __init__(self, taxonomy: DataFrame, max_postings: int = MAX_POSTINGS) -> None:
+    def __init__(self, taxonomy: DataFrame, max_postings: int = MAX_POSTINGS, max_subset: int = MAX_SUBSET) -> None:
+        self.max_subset = max_subset
         self.entries = stage(taxonomy_entries(taxonomy), "entries")
-        self.frequent = frequent_words(self.entries, max_postings)
-        self.postings = stage(postings(self.entries, self.frequent), "postings")
+        self.kinds = stage(word_kinds(self.entries, max_postings), "word-kinds")
+        signed = stage(signed_entries(self.entries, self.kinds), "signed-entries")
+        rare = signed.select(F.lit("rare").alias("kind"), F.explode("others").alias("value"), "signature", "number")
+        lowest = signed.where(F.size("signature") > 0).groupBy("signature").agg(F.min("number").alias("number"))
+        lowest = stage(lowest, "signatures")
+        narrow = lowest.where(F.size("signature") <= max_subset)
+        sets = narrow.select(F.explode(_subsets(F.col("signature"))).alias("value"), "number")
+        sets = sets.groupBy("value").agg(F.min("number").alias("number"))
+        sets = sets.select(F.lit("set").alias("kind"), "value", F.split("value", " ").alias("signature"), "number")
+        kind = F.when(F.size("signature") > max_subset, "wide").otherwise("word").alias("kind")
+        combinations = lowest.select(kind, F.explode("signature").alias("value"), "signature", "number")
+        self.index = stage(rare.unionByName(sets).unionByName(combinations), "overlap-index")
+
+    def candidates(self, keyed: DataFrame, keys: Sequence[str], tokens: Column, keep_all: bool = False) -> DataFrame:
+        """(keys, number, score) of the entries that may be best; with ``keep_all`` a null row for every key."""
+        words = F.array_distinct(tokens)
+        if keep_all:
+            # A marker of its own keeps each row; it begins with a blank, as no word does, and is no word of an entry.
+            marker = F.concat(F.lit(" "), F.xxhash64(*keys).cast("string"))
+            words = F.array_append(F.coalesce(words, text.word_list(())), marker)
+        exploded = keyed.select(*keys, F.explode(words).alias("token"))
+        met = exploded.join(self.kinds, "token", "left" if keep_all else "inner")
+        if keep_all:
+            met = met.where(F.col("frequent").isNotNull() | F.col("token").startswith(" "))
+        listed = met.groupBy(*keys).agg(
+            F.array_sort(F.collect_list(F.when(F.col("frequent"), F.col("token")))).alias("_common"),
+            F.collect_list(F.when(~F.col("frequent"), F.col("token"))).alias("_rare"),
+        )
+        few = F.size("_common") <= self.max_subset
+        # One row per look-up: a rare word, a set of frequent words, or a frequent word.
+        none = F.array().cast("array<string>")
+
+        def look_ups(kind: str, values: Column) -> Column:
+            return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+        wanted = F.concat(
+            look_ups("rare", F.col("_rare")), look_ups("set", F.when(few, _subsets(F.col("_common"))).otherwise(none)),
+            look_ups("wide", F.col("_common")), look_ups("word", F.when(few, none).otherwise(F.col("_common"))),
+        )
+        if keep_all:
+            wanted = F.concat(wanted, F.array(F.struct(F.lit("row").alias("kind"), F.lit(None).cast("string").alias("value"))))
+        probes = listed.select(*keys, "_common", F.explode(wanted).alias("_probe")).select(*keys, "_common", "_probe.kind", "_probe.value")
+        hits = probes.join(self.index, ["kind", "value"], "left" if keep_all else "inner")
+        pairs = hits.groupBy(*keys, "_common", "number", "signature").agg(F.count_if(F.col("kind") == "rare").cast("int").alias("_rare"))
+        score = F.col("_rare") + F.size(F.array_intersect("_common", "signature"))
+        return pairs.select(*keys, "number", score.alias("score"))
 
     def best(
         self, keyed: DataFrame, keys: Sequence[str], tokens: Column, keep_all: bool = False
@@ -84,26 +133,7 @@ class OverlapIndex:
         The most shared words win, then the lowest (id, degree_name). Rows that share no word with
         any entry are left out, or kept with nulls.
         """
-        common = self.frequent.agg(F.collect_list("token").alias("tokens")).scalar()
-        words = F.array_distinct(tokens)
-        # A marker of its own keeps each row; it begins with a blank, as no word does, and meets no posting.
-        marker = F.concat(F.lit(" "), F.xxhash64(*keys).cast("string"))
-        marked = F.array_append(F.coalesce(words, text.word_list(())), marker)
-        # Two steps: beside an explode, the intersection would be evaluated once per word.
-        listed = keyed.select(
-            *keys,
-            F.array_intersect(tokens, common).alias("_common"),
-            (marked if keep_all else words).alias("_words"),
-        )
-        exploded = listed.select(*keys, "_common", F.explode("_words").alias("token"))
-        met = exploded.join(self.postings, "token", "left" if keep_all else "inner")
-        if keep_all:
-            met = met.where(F.col("rare").isNotNull() | F.col("token").startswith(" "))
-        pairs = met.groupBy(*keys, "_common", "number", "signature").agg(
-            F.count_if(F.col("rare")).cast("int").alias("rare_words")
-        )
-        common_words = F.size(F.array_intersect("_common", "signature"))
-        scored = pairs.select(*keys, "number", (F.col("rare_words") + common_words).alias("score"))
+        scored = self.candidates(keyed, keys, tokens, keep_all)
         order = F.when(F.col("number").isNotNull(), F.struct(-F.col("score"), "number"))
         best = scored.groupBy(*keys).agg(
             F.min_by(F.struct("number", F.col("score").alias("match_score")), order).alias("_best")
@@ -136,6 +166,7 @@ def classify_by_overlap(
     taxonomy: DataFrame,
     min_score: float,
     rows_per_split: int = ROWS_PER_SPLIT,
+    max_postings: int = MAX_POSTINGS,
 ) -> DataFrame:
     """Best taxonomy entry per ``id`` by words shared with the pipe-separated ``matched_speciality``.
 
@@ -146,13 +177,13 @@ def classify_by_overlap(
     speciality = F.col("matched_speciality")
     tokens = text.overlap_words(speciality)
     keyed = df.withColumn("_key", text.digest(speciality))
-    texts = keyed.where(speciality.isNotNull()).groupBy("_key").agg(
-        F.count("*").alias("n_rows"), F.any_value(speciality).alias("matched_speciality")
-    )
-    texts = stage(texts, "texts")
-    index = OverlapIndex(taxonomy)
-    best = index.best(texts, ["_key"], tokens)
-    matched = attach(keyed, best, texts.select("_key", "n_rows"), "_key", rows_per_split)
+    counts = keyed.where(speciality.isNotNull()).groupBy("_key").agg(F.count("*").alias("n_rows"))
+    # Words travel, not texts: the distinct (text, word) pairs meet the index.
+    word_rows = keyed.select("_key", F.explode(F.array_distinct(tokens)).alias("_word")).distinct()
+    texts = word_rows.select("_key", F.array("_word").alias("_words"))
+    index = OverlapIndex(taxonomy, max_postings)
+    best = index.best(texts, ["_key"], F.col("_words"))
+    matched = attach(keyed, best, counts, "_key", rows_per_split)
     matched = index.complete(matched, tokens).select(
         *df.columns,
         F.lower(F.regexp_replace(speciality, r"\|", " ")).alias("matched_speciality_cleaned"),

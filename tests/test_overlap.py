@@ -19,14 +19,15 @@ def texts(rng, n, pool):
 
 @pytest.mark.parametrize("max_postings", [1000, 8, 3, 0])
 @pytest.mark.parametrize("keep_all", [True, False])
-def test_index_equals_comparing_all_pairs(spark, max_postings, keep_all):
+@pytest.mark.parametrize("max_subset", [8, 2])
+def test_index_equals_comparing_all_pairs(spark, max_postings, keep_all, max_subset):
     rng = random.Random(max_postings)
     pool = [f"w{i}" for i in range(14)]
     # Word w0 is in most names, so that frequent and rare words mix.
     names = [" ".join(sorted({"w0", *rng.sample(pool, rng.randint(1, 4))})) for _ in range(60)]
     taxonomy = [(f"{i:03d}", n) for i, n in enumerate(names)]
     queries = sorted(set(texts(rng, 120, [*pool, "x1", "x2"])))
-    index = OverlapIndex(spark.createDataFrame(taxonomy, TAXONOMY), max_postings)
+    index = OverlapIndex(spark.createDataFrame(taxonomy, TAXONOMY), max_postings, max_subset)
     keyed = spark.createDataFrame([(q,) for q in queries], "q string")
     tokens = F.split("q", r"\|")
     best = index.best(keyed, ["q"], tokens, keep_all)
@@ -104,3 +105,17 @@ def test_plan_has_no_python_and_no_product(spark):
 def test_gate(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "match_score int, degree_name string")
     assert [r.degree_name for r in overlap.gate(df, 2).collect()] == [None, "b", None]
+
+
+def test_candidates_do_not_grow_with_the_taxonomy(spark):
+    rng = random.Random(7)
+    pool = [f"w{i}" for i in range(60)]
+    queries = sorted({"|".join(sorted(rng.sample(pool, 5))) for _ in range(200)})
+    keyed = spark.createDataFrame([(q,) for q in queries], "q string")
+    met = []
+    for n in (500, 4_000):
+        names = {" ".join(sorted(rng.sample(pool, 5))) for _ in range(n)}
+        taxonomy = spark.createDataFrame([(f"{i:05d}", name) for i, name in enumerate(sorted(names))], TAXONOMY)
+        index = OverlapIndex(taxonomy, max_postings=20)
+        met.append(index.candidates(keyed, ["q"], F.split("q", r"\|")).count() / len(queries))
+    assert max(met) <= 2**5 and met[1] < 2 * met[0]
