@@ -79,6 +79,10 @@ TAXONOMY = """
 taxonomy AS (
   SELECT lpad(CAST(min(p_partkey) AS VARCHAR), 12, '0') AS id, p_name AS degree_name
   FROM part GROUP BY p_name)"""
+PART_TAXONOMY = """
+parts AS (
+  SELECT lpad(CAST(min(p_partkey) AS VARCHAR), 12, '0') AS id, concat_ws(' ', lower(p_type), p_brand, p_name) AS degree_name
+  FROM part GROUP BY concat_ws(' ', lower(p_type), p_brand, p_name))"""
 KEYWORD = """
 keyword AS (
   SELECT clean_word, type, load_order FROM (
@@ -324,6 +328,8 @@ SELECT token, target, round(similarity, 5) AS similarity FROM dict1""",
     "overlap_per_cluster": overlap(
         SPECIALITY, TAXONOMY, "SELECT cluster AS id, matched_speciality FROM speciality",
         f"id, matched_speciality, master_degree_id, {GATED}, CAST(rank AS INT) AS rank", 2),
+    "overlap_large_taxonomy": overlap(
+        SPECIALITY, PART_TAXONOMY, "SELECT * FROM speciality", f"id, master_degree_id, {GATED}", 2),
     "overlap_documents": overlap(
         CLEAN_DOCUMENTS, BENCHMARK, "SELECT doc_id AS id, name AS matched_speciality FROM clean_documents",
         f"id, master_degree_id, {GATED}", 2),

@@ -232,6 +232,13 @@ def overlap_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("id", "master_degree_id", "degree_name", "match_score")
 
 
+def overlap_large_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A taxonomy that grows with the parts, over few words: nearly all of them are frequent."""
+    named, parts = given.specialities(spark, sf_dir), given.part_taxonomy(spark, sf_dir)
+    best = overlap.classify_by_overlap(named, parts, 2, rows_per_split=500, max_postings=20)
+    return best.select("id", "master_degree_id", "degree_name", "match_score")
+
+
 def _classify(spark: SparkSession, sf_dir: str, vectors: DataFrame | None, speciality: float) -> DataFrame:
     return classify(
         given.entities(spark, sf_dir), given.keyword_rows(spark, sf_dir), given.taxonomy(spark, sf_dir),
@@ -426,6 +433,6 @@ QUERIES = {
         overlap_documents, classify_names, classify_names_with_vectors, cosine_pairs, cosine_best,
         mean_vector, word_mean_vector, match_by_vector, nearest_words, word2vec_vocabulary,
         word2vec_neighbours, csv_round_trip, corpus_from_csv, dimension_from_csv,
-        classify_from_files, cosine_best_in_blocks, corpus_with_bad_quotes, corpus_rejects, entities_of_several_layouts,
+        overlap_large_taxonomy, classify_from_files, cosine_best_in_blocks, corpus_with_bad_quotes, corpus_rejects, entities_of_several_layouts,
     )
 }

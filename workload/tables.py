@@ -47,6 +47,13 @@ def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct type, brand and name of the parts with the lowest key: (id, degree_name)."""
+    whole = F.concat_ws(" ", F.lower("p_type"), F.col("p_brand"), F.col("p_name"))
+    named = table(spark, sf_dir, "part").groupBy(whole.alias("degree_name"))
+    return named.agg(F.lpad(F.min("p_partkey").cast("string"), 12, "0").alias("id")).select("id", "degree_name")
+
+
 def keyword_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A keyword row per part, with many repeats: (clean_word, type, load_order)."""
     return table(spark, sf_dir, "part").select(
