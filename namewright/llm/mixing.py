@@ -46,10 +46,9 @@ def mix_sources(
         targets.where("weight > 0").select(F.col("source").alias("_target"), F.col("weight").cast("double").alias("_weight")),
         F.col("_source").eqNullSafe(F.col("_target")),
     ).drop("_target")
-    # The totals are one row, joined to one row a source.
-    totals = rates.agg(F.sum("_weight").alias("_weights")).crossJoin(counts.agg(F.sum("_n").alias("_rows")))
-    rate = F.lit(float(size)) * F.col("_rows") * (F.col("_weight") / F.col("_weights")) / F.col("_n")
-    rates = rates.join(F.broadcast(totals)).withColumn("_rate", rate)
+    weights, rows = rates.agg(F.sum("_weight")).scalar(), counts.agg(F.sum("_n")).scalar()
+    rate = F.lit(float(size)) * rows * (F.col("_weight") / weights) / F.col("_n")
+    rates = rates.withColumn("_rate", rate)
     draws = F.greatest(F.ceil(F.col("_rate") / DRAW_MEAN), F.lit(1)).cast("int")
     rates = rates.withColumn("_draws", draws).select(
         "_source", "_draws", poisson_cdf(F.col("_rate") / F.col("_draws")).alias("_cdf")
@@ -60,8 +59,8 @@ def mix_sources(
         parts = [F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (id_column, source_column)), F.md5(F.coalesce(F.col(text_column), F.lit("")))]
         return F.md5(F.concat_ws(":", *parts))
 
-    rows = documents.select(F.struct(*columns).alias("_whole"), F.col(source_column).alias("_own"), hashed().alias("_hash"))
-    drawn = rows.join(rates, F.col("_own").eqNullSafe(F.col("_source")))
+    keyed = documents.select(F.struct(*columns).alias("_whole"), F.col(source_column).alias("_own"), hashed().alias("_hash"))
+    drawn = keyed.join(rates, F.col("_own").eqNullSafe(F.col("_source")))
     draws = F.transform(
         F.sequence(F.lit(0), F.col("_draws") - 1), lambda draw: uniform(F.md5(F.concat_ws(":", "_hash", draw.cast("string"))))
     )
