@@ -31,18 +31,20 @@ FROM embeddings e JOIN lowest ON lowest.src = e.vec_id LEFT JOIN counted ON coun
 OP3 = r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS spot FROM turns
 ), replies AS (
-    SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS last_text FROM turns WHERE role = 'assistant' GROUP BY conv_id
+    SELECT conv_id, max(spot) AS last_at, arg_max(text, spot) AS last_text FROM numbered WHERE role = 'assistant' GROUP BY conv_id
 ), known AS (
-    SELECT turns.*, role = 'assistant' AND coalesce(turn = own.last_turn, false) AS is_last, other.last_text AS other_text
-    FROM turns LEFT JOIN replies own USING (conv_id) LEFT JOIN replies other ON other.conv_id = xor(turns.conv_id, 1)
-    WHERE own.last_turn IS NULL OR turn <= own.last_turn
+    SELECT numbered.*, coalesce(spot = own.last_at, false) AS is_last, other.last_text AS other_text
+    FROM numbered LEFT JOIN replies own USING (conv_id) LEFT JOIN replies other ON other.conv_id = xor(numbered.conv_id, 1)
+    WHERE own.last_at IS NULL OR spot <= own.last_at
 ), sides AS (
-    SELECT 'c' AS side, conv_id, turn, role, text FROM known
+    SELECT 'c' AS side, conv_id, turn, role, text, spot FROM known
     UNION ALL
-    SELECT 'r', conv_id, turn, role, CASE WHEN is_last THEN other_text ELSE text END FROM known WHERE NOT is_last OR other_text IS NOT NULL
+    SELECT 'r', conv_id, turn, role, CASE WHEN is_last THEN other_text ELSE text END, spot FROM known WHERE NOT is_last OR other_text IS NOT NULL
 ), placed AS (
-    SELECT *, row_number() OVER (PARTITION BY side, conv_id ORDER BY turn, role, text) - 1 AS place,
+    SELECT *, row_number() OVER (PARTITION BY side, conv_id ORDER BY spot) - 1 AS place,
            '<|' || role || '|>' || chr(10) AS head
     FROM sides
 ), met AS (

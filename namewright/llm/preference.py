@@ -2,55 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A rendered turn is its role between these, its text, and the end mark.
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 TRAINED_ROLE = "assistant"
 
+TURNS = "array<struct<turn: bigint, role: string, text: string>>"
+
 
 def preference_format(
-    chosen: DataFrame,
-    rejected: DataFrame,
-    pair_column: str = "pair_id",
-    trained_role: str = TRAINED_ROLE,
+    chosen: DataFrame, rejected: DataFrame, pair_column: str = "pair_id", trained_role: str = TRAINED_ROLE
 ) -> DataFrame:
     """One row per pair from the turns of its chosen and its rejected conversation.
 
     Both inputs have (pair, turn, role, text). Columns: pair, n_common, prompt, chosen, rejected, chosen_mask, rejected_mask, usable. The
     longest prefix of turns that both sides share, equal in role and text, is rendered once as ``prompt``; what
-    follows on each side is its completion. A mask is an array of (begin, end), the characters (code points) of the completion that are trained on: the texts and end
-    marks of the turns of ``trained_role``. A pair is usable if both completions have something to train on.
+    follows on each side is its completion. A mask is an array of (begin, end), the characters (code points) of the completion that are trained on: the
+    texts and end marks of the turns of ``trained_role``. A pair is usable if both completions have something to train on.
 
-    The two sides meet turn by turn in one full join on pair and place; the first place that differs is a minimum per pair, and what is collected per pair are
-    its own turns, as one training example is one row. A third of the rows under one pair means one very long example; no other group is ever formed.
+    Both sides are shuffled once, by pair, and compared within the row. A pair's turns are one training example and so one row; no other
+    group is formed. Should one pair hold a third of all turns, that is one very long example.
 
     Turns are ordered by turn, then role, then text, so repeated turn numbers have a fixed order; null turns come first. Null role and
     text are empty. Turns of a null pair belong to no pair and are left out. A pair with one side only has an empty prompt and is not usable. Equal sides
     leave two empty completions. Other columns are ignored.
     """
-    sides = [_placed(side, pair_column).select(
-        "_pair", "_place", F.struct("role", "text").alias(name)) for side, name in ((chosen, "_chosen"), (rejected, "_rejected"))]
-    met = sides[0].join(sides[1], ["_pair", "_place"], "full")
-    differs = ~F.col("_chosen").eqNullSafe(F.col("_rejected"))
-    turns = met.groupBy("_pair").agg(
-        F.min(F.when(differs, F.col("_place"))).alias("_first"), F.count("*").alias("_places"),
-        F.array_sort(F.collect_list(F.struct("_place", "_chosen", "_rejected"))).alias("_turns"),
+    sides = [_clean(side, pair_column).withColumn("_side", F.lit(number)) for number, side in enumerate((chosen, rejected))]
+    turn = F.struct("turn", "role", "text")
+    pairs = sides[0].unionByName(sides[1]).groupBy("_key").agg(*(
+        F.sort_array(F.collect_list(F.when(F.col("_side") == number, turn))).alias(name)
+        for number, name in enumerate(("chosen", "rejected"))
+    ))
+    return format_pairs(pairs.withColumnRenamed("_key", pair_column), pair_column, trained_role)
+
+
+def format_pairs(pairs: DataFrame, pair_column: str = "pair_id", trained_role: str = TRAINED_ROLE) -> DataFrame:
+    """The same from rows (pair, chosen, rejected) that hold the ordered turns of both sides as arrays of (turn, role, text)."""
+    a, b = F.col("chosen"), F.col("rejected")
+    shorter = F.least(F.size(a), F.size(b))
+    same = F.transform(
+        F.when(shorter > 0, F.sequence(F.lit(0), shorter - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: (F.get(a, i)["role"] == F.get(b, i)["role"]) & (F.get(a, i)["text"] == F.get(b, i)["text"]),
     )
-    n_common = F.coalesce("_first", "_places").cast("int")
-    turns = turns.withColumn("n_common", n_common)
-    common = F.filter("_turns", lambda t: t["_place"] < F.col("n_common"))
+    differs = F.array_position("_same", False)
+    n_common = F.when(differs > 0, differs - 1).otherwise(F.size("_same")).cast("int")
+    turns = pairs.select(pair_column, a, b, same.alias("_same")).withColumn("n_common", n_common)
 
     def rest(name: str) -> Column:
-        after = F.filter("_turns", lambda t: (t["_place"] >= F.col("n_common")) & t[name].isNotNull())
-        return F.transform(after, lambda t: t[name]).alias(name)
+        return F.slice(F.col(name), F.col("n_common") + 1, F.size(name)).alias(f"_{name}")
 
-    turns = turns.select(
-        F.col("_pair").alias(pair_column), "n_common",
-        F.transform(common, lambda t: t["_chosen"]).alias("_common"),
-        rest("_chosen"), rest("_rejected"),
-    )
+    turns = turns.select(pair_column, "n_common", F.slice(a, F.lit(1), F.col("n_common")).alias("_common"), rest("chosen"), rest("rejected"))
     made = turns.select(
         pair_column, "n_common", _render(F.col("_common")).alias("prompt"), _render(F.col("_chosen")).alias("chosen"),
         _render(F.col("_rejected")).alias("rejected"), _mask(F.col("_chosen"), trained_role).alias("chosen_mask"),
@@ -59,13 +62,11 @@ def preference_format(
     return made.withColumn("usable", (F.size("chosen_mask") > 0) & (F.size("rejected_mask") > 0))
 
 
-def _placed(turns: DataFrame, pair_column: str) -> DataFrame:
-    clean = turns.where(F.col(pair_column).isNotNull()).select(
-        F.col(pair_column).alias("_pair"), F.col("turn").alias("_turn"),
+def _clean(turns: DataFrame, key_column: str) -> DataFrame:
+    return turns.where(F.col(key_column).isNotNull()).select(
+        F.col(key_column).alias("_key"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    order = Window.partitionBy("_pair").orderBy("_turn", "role", "text")
-    return clean.withColumn("_place", F.row_number().over(order) - 1)
 
 
 def _head(turn: Column) -> Column:
@@ -90,20 +91,25 @@ def _mask(turns: Column, trained_role: str) -> Column:
     return F.aggregate(turns, start, add)["spans"]
 
 
-def rival_replies(conversations: DataFrame, trained_role: str = TRAINED_ROLE) -> tuple[DataFrame, DataFrame]:
-    """Chosen and rejected turns from plain conversations (conv_id, turn, role, text), a pair per conversation.
+def rival_replies(conversations: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
+    """Pairs (pair_id, chosen, rejected) from plain conversations (conv_id, turn, role, text), one per conversation.
 
-    Chosen is the conversation up to its last reply, a turn of ``trained_role``. Rejected is the same with that reply exchanged for the last reply of the
-    neighbour, the conversation whose id differs in the lowest bit; a conversation without neighbour or reply has no rejected side there.
+    Chosen is the conversation up to its last reply, a turn of ``trained_role``. Rejected is the same with that reply exchanged for the
+    last reply of the neighbour, the conversation whose id differs in the lowest bit; without a neighbour's reply the rejected side ends
+    before it. A conversation without a reply is the same on both sides. Turns are shuffled once, by conversation; only replies travel to the neighbour.
     """
-    turns = conversations.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text")
-    reply = F.max(F.when(F.col("role") == trained_role, F.struct(F.coalesce("turn", F.lit(-1).cast("long")).alias("turn"), "text")))
-    last = turns.groupBy("conv_id").agg(reply.alias("_last"))
-    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("_last.text").alias("_other"), F.col("_last").isNotNull().alias("_has"))
-    known = turns.join(last.join(other, "conv_id", "left"), "conv_id")
-    until = known.where(F.col("_last").isNull() | (F.coalesce("turn", F.lit(-1).cast("long")) <= F.col("_last.turn")))
-    is_last = (F.col("role") == trained_role) & (F.coalesce("turn", F.lit(-1).cast("long")) == F.col("_last.turn")) & F.col("text").eqNullSafe(F.col("_last.text"))
-    is_last = F.coalesce(is_last, F.lit(False))
-    columns = [F.col("conv_id").alias("pair_id"), "turn", "role"]
-    rejected = until.where(~is_last | F.coalesce("_has", F.lit(False))).select(*columns, F.when(is_last, F.col("_other")).otherwise(F.col("text")).alias("text"))
-    return until.select(*columns, "text"), rejected
+    turns = _clean(conversations, "conv_id").groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_turns"))
+    last = F.array_max(F.transform("_turns", lambda t, i: F.when(t["role"] == trained_role, i)))
+    whole = turns.withColumn("_last", last).withColumn("_reply", F.get("_turns", F.col("_last")))
+    other = whole.where("_last IS NOT NULL").select(
+        F.col("_key").cast("long").bitwiseXOR(F.lit(1).cast("long")).alias("_key"), F.col("_reply.text").alias("_other")
+    )
+    exchanged = F.struct(F.col("_reply.turn").alias("turn"), F.col("_reply.role").alias("role"), F.col("_other").alias("text"))
+    reply = F.when(F.col("_other").isNotNull(), F.array(exchanged)).otherwise(F.array().cast(TURNS))
+    until = F.slice("_turns", F.lit(1), F.col("_last"))
+    alone = F.col("_last").isNull()
+    return whole.join(other, "_key", "left").select(
+        F.col("_key").alias("pair_id"),
+        F.when(alone, F.col("_turns")).otherwise(F.slice("_turns", F.lit(1), F.col("_last") + 1)).alias("chosen"),
+        F.when(alone, F.col("_turns")).otherwise(F.concat(until, reply)).alias("rejected"),
+    )

@@ -10,7 +10,7 @@ from namewright.llm.license_scan import license_scan
 from namewright.llm.mixing import mix_sources, tempered_targets
 from namewright.llm.near_dedup import near_dedup
 from namewright.llm.packing import best_fit_pack, tokenise
-from namewright.llm.preference import preference_format, rival_replies
+from namewright.llm.preference import format_pairs, rival_replies
 from namewright.llm.quality_classifier import quality_classifier
 from namewright.llm.quality_rules import quality_rules
 from namewright.llm.secret_scan import secret_scan
@@ -31,12 +31,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen, rejected = rival_replies(_table(spark, sf_dir, "conversations"))
-
     def spans(mask: str) -> Column:
         return F.array_join(F.transform(mask, lambda m: F.concat_ws(":", m["begin"].cast("string"), m["end"].cast("string"))), ",")
 
-    made = preference_format(chosen, rejected)
+    made = format_pairs(rival_replies(_table(spark, sf_dir, "conversations")))
     return made.withColumns({mask: spans(mask) for mask in ("chosen_mask", "rejected_mask")})
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from namewright.llm.preference import preference_format, rival_replies
+from namewright.llm.preference import format_pairs, preference_format, rival_replies
 
 SCHEMA = "pair_id long, turn long, role string, text string, _place int, prompt string"
 
@@ -78,9 +78,11 @@ def test_empty_tables(spark):
 def test_rival_replies(spark):
     turns = [
         (0, 0, "user", "q0"), (0, 1, "assistant", "a0"), (0, 2, "user", "more"), (1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (2, 0, "user", "q2"), (2, 1, "assistant", "a2"),
-        (4, 0, "user", "q4"), (5, 0, "user", "q5"), (5, 1, "assistant", None), (None, 0, "user", "lost"),
+        (4, 0, "user", "q4"), (5, 0, "user", "q5"), (5, 1, "assistant", None), (None, 0, "user", "lost"), (6, None, "assistant", "first"), (6, 3, None, "then"),
     ]
-    chosen, rejected = rival_replies(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
-    show = lambda t: sorted((r["pair_id"], r["turn"], r["text"]) for r in t.fillna("", ["text"]).collect())
-    assert show(chosen) == [(0, 0, "q0"), (0, 1, "a0"), (1, 0, "q1"), (1, 1, "a1"), (2, 0, "q2"), (2, 1, "a2"), (4, 0, "q4"), (5, 0, "q5"), (5, 1, "")]
-    assert show(rejected) == [(0, 0, "q0"), (0, 1, "a1"), (1, 0, "q1"), (1, 1, "a0"), (2, 0, "q2"), (4, 0, "q4"), (5, 0, "q5")]
+    pairs = rival_replies(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    got = {r["pair_id"]: ([t["text"] for t in r["chosen"]], [t["text"] for t in r["rejected"]]) for r in pairs.collect()}
+    assert got == {
+        0: (["q0", "a0"], ["q0", "a1"]), 1: (["q1", "a1"], ["q1", "a0"]), 2: (["q2", "a2"], ["q2"]), 4: (["q4"], ["q4"]), 5: (["q5", ""], ["q5"]), 6: (["first"], []),
+    }
+    assert format_pairs(pairs).count() == 6
