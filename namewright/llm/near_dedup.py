@@ -26,9 +26,9 @@ RARE = 1 / 250
 DAMPING = 0.25
 BANDS, ROWS = 12, 3
 #: Limits of a block of a bucket; a tile holds two blocks.
-BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
+BLOCK_ROWS, BLOCK_BYTES = 512, 4 << 20
 #: Columns of one matrix product.
-SLAB = 4096
+SLAB = 1024
 
 _QUANTILES = 1 << 16
 

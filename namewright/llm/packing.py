@@ -18,6 +18,8 @@ from namewright.sources.staging import stage
 
 CAPACITY = 1024
 END = 2
+#: Documents whose token ids a task holds at once.
+BATCH = 1000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -83,7 +85,7 @@ def tokenise(
     path = path or vocabulary("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, BATCH) for b in batches for at in range(0, len(b), BATCH)):
             columns: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
                 ids = np.array([*encode(text.as_py() or "", path), end], dtype="<u4")
