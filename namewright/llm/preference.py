@@ -98,12 +98,13 @@ def rival_replies(conversations: DataFrame, trained_role: str = TRAINED_ROLE) ->
     last reply of the neighbour, the conversation whose id differs in the lowest bit; without a neighbour's reply the rejected side ends
     before it. A conversation without a reply is the same on both sides. Turns are shuffled once, by conversation; only replies travel to the neighbour.
     """
-    turns = _clean(conversations, "conv_id").groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_turns"))
+    clean = _clean(conversations, "conv_id")
+    whole = clean.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_turns"))
     last = F.array_max(F.transform("_turns", lambda t, i: F.when(t["role"] == trained_role, i)))
-    whole = turns.withColumn("_last", last).withColumn("_reply", F.get("_turns", F.col("_last")))
-    other = whole.where("_last IS NOT NULL").select(
-        F.col("_key").cast("long").bitwiseXOR(F.lit(1).cast("long")).alias("_key"), F.col("_reply.text").alias("_other")
-    )
+    whole = whole.withColumn("_last", last).withColumn("_reply", F.get("_turns", F.col("_last")))
+    # The last reply of the order above; the maximum combines before the shuffle.
+    replies = clean.where(F.col("role") == trained_role).groupBy("_key").agg(F.max(F.struct("turn", "text"))["text"].alias("_other"))
+    other = replies.select(F.col("_key").cast("long").bitwiseXOR(F.lit(1).cast("long")).alias("_key"), "_other")
     exchanged = F.struct(F.col("_reply.turn").alias("turn"), F.col("_reply.role").alias("role"), F.col("_other").alias("text"))
     reply = F.when(F.col("_other").isNotNull(), F.array(exchanged)).otherwise(F.array().cast(TURNS))
     until = F.slice("_turns", F.lit(1), F.col("_last"))

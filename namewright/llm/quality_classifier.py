@@ -145,7 +145,7 @@ def _sample(
     if not len(lists):
         return [], np.zeros(0, dtype=np.int64)
     values, cuts = lists.flatten().to_numpy(), np.cumsum(pa.compute.list_value_length(lists).to_numpy())
-    return np.split(values.astype(np.int64), cuts[:-1]), picked["grade"].to_numpy().astype(np.int64)
+    return np.split(values, cuts[:-1]), picked["grade"].to_numpy().astype(np.int64)
 
 
 def _features(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
