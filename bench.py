@@ -22,7 +22,7 @@ from workload.queries import QUERIES
 HEADLINE = (
     "clean_strip_first", "clean_fold_first", "token_vocabulary", "fuzzy_dictionary",
     "fuzzy_dictionary_documents", "fuzzy_correct_names", "fuzzy_correct_documents", "overlap_best",
-    "overlap_documents", "level_lookup", "classify_names", "cosine_best", "match_by_vector",
+    "overlap_documents", "overlap_large_taxonomy", "level_lookup", "classify_names", "cosine_best", "match_by_vector",
     "mean_vector",
 )
 

@@ -165,8 +165,8 @@ def correct_words(
     a null text gives four nulls. Each distinct token is compared once.
 
     Texts stay where they are until the final join: only their tokens, the matched ones deduplicated per text, and
-    their digests are shuffled, and no table with the texts is written. ``df`` is read once for each of these and once for
-    the result; stage it first if it is costly to compute.
+    their digests are shuffled, and no table with the texts is written. ``df`` is read three times, for its tokens, for the
+    matches and for the result; stage it first if it is costly to compute.
     """
     if targets is None or stopwords is None or letters is None:
         raise ValueError("targets, stopwords and letters are required")
@@ -174,9 +174,15 @@ def correct_words(
     tokens = text_tokens(df, column, stopwords, letters)
     dictionary = stage(correction_dictionary(tokens, ranked, threshold, vectors), "dictionary")
     keyed = df.withColumn("_key", text.digest(F.col(column)))
-    counts = keyed.where(F.col(column).isNotNull()).groupBy("_key").agg(F.count("*").alias("n_rows"))
     words = text.match_words(F.col(column), stopwords, letters)
-    exploded = keyed.select("_key", F.posexplode(words).alias("position", "token"))
-    found = exploded.join(dictionary.select("token", "target", "source"), "token").distinct()
-    joined = attach(keyed, _matches(found, ["_key"]), counts, "_key", rows_per_split)
+    # One pass gives the matched tokens of each text and, by a marker that no token equals, its number of rows.
+    marked = keyed.where(F.col(column).isNotNull()).select(
+        "_key", F.posexplode(F.array_append(F.coalesce(words, text.word_list(())), F.lit(" "))).alias("position", "token")
+    )
+    met = marked.join(dictionary.select("token", "target", "source"), "token", "left")
+    met = met.where(F.col("target").isNotNull() | (F.col("token") == " "))
+    found = met.groupBy("_key", "position", "token", "target", "source").agg(F.count("*").alias("n_rows"))
+    found = stage(found, "matched-tokens")
+    matches = _matches(found.where(F.col("target").isNotNull()), ["_key"])
+    joined = attach(keyed, matches, found.where("target IS NULL").select("_key", "n_rows"), "_key", rows_per_split)
     return _with_corrections(joined, df.columns, column, delimiter)

@@ -79,6 +79,8 @@ class OverlapIndex:
         self.max_subset = max_subset
         self.entries = stage(taxonomy_entries(taxonomy), "entries")
         self.kinds = stage(word_kinds(self.entries, max_postings), "word-kinds")
+        #: Without frequent words, as in every small taxonomy, words alone are looked up and counted.
+        self.has_frequent = not self.kinds.where("frequent").isEmpty()
         signed = stage(signed_entries(self.entries, self.kinds), "signed-entries")
         rare = signed.select(F.lit("rare").alias("kind"), F.explode("others").alias("value"), "signature", "number")
         lowest = signed.where(F.size("signature") > 0).groupBy("signature").agg(F.min("number").alias("number"))
@@ -103,9 +105,13 @@ class OverlapIndex:
         if keep_all:
             met = met.where(F.col("frequent").isNotNull() | F.col("token").startswith(" "))
         listed = met.groupBy(*keys).agg(
-            F.array_sort(F.collect_list(F.when(F.col("frequent"), F.col("token")))).alias("_common"),
-            F.collect_list(F.when(~F.col("frequent"), F.col("token"))).alias("_rare"),
+            F.array_sort(F.collect_set(F.when(F.col("frequent"), F.col("token")))).alias("_common"),
+            F.collect_set(F.when(~F.col("frequent"), F.col("token"))).alias("_rare"),
         )
+        if not self.has_frequent:
+            rare = listed.select(*keys, (F.explode_outer if keep_all else F.explode)("_rare").alias("value"))
+            hits = rare.join(self.index.select("value", "number"), "value", "left" if keep_all else "inner")
+            return hits.groupBy(*keys, "number").agg(F.count("number").cast("int").alias("score"))
         few = F.size("_common") <= self.max_subset
         # One row per look-up: a rare word, a set of frequent words, or a frequent word.
         none = F.array().cast("array<string>")
@@ -128,7 +134,7 @@ class OverlapIndex:
     def best(
         self, keyed: DataFrame, keys: Sequence[str], tokens: Column, keep_all: bool = False
     ) -> DataFrame:
-        """The ``keys`` of a table of unique rows with ``entry`` and ``match_score`` of the best entry.
+        """The ``keys`` with ``entry`` and ``match_score`` of the best entry; rows of equal keys count once.
 
         The most shared words win, then the lowest (id, degree_name). Rows that share no word with
         any entry are left out, or kept with nulls.
@@ -178,11 +184,9 @@ def classify_by_overlap(
     tokens = text.overlap_words(speciality)
     keyed = df.withColumn("_key", text.digest(speciality))
     counts = keyed.where(speciality.isNotNull()).groupBy("_key").agg(F.count("*").alias("n_rows"))
-    # Words travel, not texts: the distinct (text, word) pairs meet the index.
-    word_rows = keyed.select("_key", F.explode(F.array_distinct(tokens)).alias("_word")).distinct()
-    texts = word_rows.select("_key", F.array("_word").alias("_words"))
+    # Words travel, not texts: those of the taxonomy, as sets that combine before the shuffle.
     index = OverlapIndex(taxonomy, max_postings)
-    best = index.best(texts, ["_key"], F.col("_words"))
+    best = index.best(keyed, ["_key"], tokens)
     matched = attach(keyed, best, counts, "_key", rows_per_split)
     matched = index.complete(matched, tokens).select(
         *df.columns,

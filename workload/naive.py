@@ -43,6 +43,11 @@ def overlap_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _overlap(tables.specialities(spark, sf_dir), tables.taxonomy(spark, sf_dir), words)
 
 
+def overlap_large_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = text.overlap_words(F.col("matched_speciality"))
+    return _overlap(tables.specialities(spark, sf_dir), tables.part_taxonomy(spark, sf_dir), words)
+
+
 def _corrected(rows: DataFrame, targets: DataFrame, threshold: float) -> DataFrame:
     """Every word of every row against every target; only ``name`` and ``matched`` are kept up."""
     words = rows.select("id", F.posexplode(F.split("name", " ")).alias("p", "token"))
@@ -70,5 +75,5 @@ def classify_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAIVE = {
     f.__name__: f
-    for f in (fuzzy_dictionary, overlap_best, classify_names)
+    for f in (fuzzy_dictionary, overlap_best, overlap_large_taxonomy, classify_names)
 }

@@ -34,6 +34,11 @@ def clean_strip_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_column(documents, "text", punctuation=LETTERS_AND_DIGITS)
 
 
+def _cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written once: cleaning costs far more than reading, and what follows reads its input several times."""
+    return staging.stage(clean_strip_first(spark, sf_dir), "cleaned-documents")
+
+
 def clean_letters_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_column(table(spark, sf_dir, "conversations"), "text")
 
@@ -162,7 +167,7 @@ def fuzzy_correct_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fuzzy_correct_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole cleaned documents corrected towards the taxonomy words."""
-    names = clean_strip_first(spark, sf_dir).withColumnRenamed("text", "name")
+    names = _cleaned_documents(spark, sf_dir).withColumnRenamed("text", "name")
     return _correct(spark, names, _taxonomy_targets(spark, sf_dir), 0.75)
 
 
@@ -225,7 +230,7 @@ def overlap_per_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overlap_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark item that shares most words with each document."""
-    documents = clean_strip_first(spark, sf_dir).select(
+    documents = _cleaned_documents(spark, sf_dir).select(
         F.col("doc_id").alias("id"), F.col("text").alias("matched_speciality")
     )
     best = overlap.classify_by_overlap(documents, given.benchmark_taxonomy(spark, sf_dir), 2)

@@ -9,8 +9,15 @@ from namewright.functions import text
 from namewright.config import LETTERS_AND_DIGITS
 
 
+#: Tables of long texts; a file of one row group is one split, however many cores there are.
+TEXTS = ("documents",)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; one of texts with fewer splits than cores is dealt out, which large tables never need."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if name in TEXTS and rows.rdd.getNumPartitions() < cores else rows
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
