@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from namewright.llm.components import components, merge
-from namewright.llm.words import Words, grams, mix, words
+from namewright.llm.words import Words, grams, mix, short_grams, words
 from namewright.sources.staging import stage
 
 #: Buckets of the document frequencies. Their error is a share of all documents (shingles per
@@ -171,7 +171,9 @@ def _bucket(ids: np.ndarray) -> np.ndarray:
 def shingles(part: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, 44-bit id and count of each row's distinct shingles, sorted by row."""
     rolled, whole = grams(part, k)
-    short = part.begins[:-1][(part.counts > 0) & (part.counts < k)]
+    is_short = (part.counts > 0) & (part.counts < k)
+    short = part.begins[:-1][is_short]
+    rolled[short] = short_grams(part.hashes, short, part.counts[is_short])
     whole[short] = True
     rows = np.repeat(np.arange(len(part.counts), dtype=np.uint64), part.counts)
     keys = np.sort((rows[whole] << np.uint64(44)) | (rolled[whole] >> np.uint64(20)))

@@ -157,3 +157,12 @@ def grams(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
         rolled[: max(n - step, 0)] += hashes[step:]
     left = np.repeat(found.begins[1:], found.counts) - np.arange(n)
     return mix(rolled), left >= k
+
+
+def short_grams(hashes: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hash of the ``counts`` words from each of ``begins``, and of no word after them."""
+    rolled = np.zeros(len(begins), dtype=np.uint64)
+    for step in range(int(counts.max(initial=0))):
+        inside = step < counts
+        rolled[inside] = rolled[inside] * _RADIX + hashes[begins[inside] + step]
+    return mix(rolled + counts.astype(np.uint64))

@@ -76,3 +76,17 @@ def test_long_text_is_read_whole():
     assert len(base) > module.FREQUENCY_BUCKETS
     texts = pd.Series([base, base[: len(base) // 2] + prose(10, 150_000)])
     assert list(similar_pairs(texts, EVEN, Settings(), np.array([0]), np.array([1])))[0][0].size == 0
+
+
+def test_short_texts_do_not_depend_on_what_follows(spark):
+    short = ["Thank you!", "thank you", "Thank\nYOU\n", "you thank", "thank you so", "One", "one.", "one one", "A b c d", "a, b, c, d!", "a b c d e"]
+    texts = [t for i, s in enumerate(short) for t in (s, prose(100 + i, 40))]
+    expected = {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8, 9: 8, 10: 10}
+    got = near_dedup(documents(spark, texts).coalesce(1)).collect()
+    groups = {r["doc_id"]: r["component_id"] for r in got}
+    assert {i: groups[2 * i] // 2 for i in range(len(short))} == expected
+    assert all(groups[2 * i + 1] == 2 * i + 1 for i in range(len(short)))
+    assert {r["n_shingles"] for r in got if r["doc_id"] % 2 == 0} == {1}
+    # A batch or a tile of their own, and in another order.
+    apart = near_dedup(documents(spark, list(enumerate(short))[::-1]).repartition(11)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in apart} == expected
