@@ -294,13 +294,18 @@ def _links(
         )
     )
     members = stage(members, "bucket-members")
-    keys = signed.join(members.select("_row").distinct(), "_row").select("_row", "_id", "_key1", "_key2")
-    same = [F.col("d._key1") == F.col("k._key1"), F.col("d._key2") == F.col("k._key2"), F.col("d._id").eqNullSafe(F.col("k._id"))]
-    needed = rows.alias("d").join(keys.alias("k"), same).select("_row", "_text")
+    needed = _texts_of(rows, signed, members)
     tiles = members.join(needed, "_row").groupBy("_band", "_key", "_low", "_high")
     return tiles.applyInPandas(lambda pdf: _verify(pdf, weights, settings), "src long, dst long")
 
 
+def _texts_of(rows: DataFrame, signed: DataFrame, members: DataFrame) -> DataFrame:
+    """(_row, _text), once for each row in ``members``: repeats of its id and text fall away before they meet the tiles."""
+    keys = signed.join(members.select("_row").distinct(), "_row").select("_row", "_id", "_key1", "_key2")
+    same = [F.col("d._key1") == F.col("k._key1"), F.col("d._key2") == F.col("k._key2"), F.col("d._id").eqNullSafe(F.col("k._id"))]
+    return rows.alias("d").join(keys.alias("k"), same).select("_row", "_text").dropDuplicates(["_row"])
+
+
 def features(texts: pd.Series, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature, weight): a shingle of count c is c features whose weights add up to its own,
     so that the sum of the smaller weights of two texts is the weight of their common features."""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from namewright.llm import near_dedup as module
 from namewright.llm.near_dedup import FREQUENCY_BUCKETS, Sampler, Settings, near_dedup, near_unique, similar_pairs
@@ -90,3 +91,13 @@ def test_short_texts_do_not_depend_on_what_follows(spark):
     # A batch or a tile of their own, and in another order.
     apart = near_dedup(documents(spark, list(enumerate(short))[::-1]).repartition(11)).collect()
     assert {r["doc_id"]: r["component_id"] for r in apart} == expected
+
+
+def test_repeated_rows_meet_the_tiles_once(spark):
+    base = prose(11, 120)
+    rows = documents(spark, [(1, base)] * 50 + [(None, base)] * 50 + [(2, changed(base, 60))]).selectExpr("doc_id AS _id", "text AS _text")
+    rows = rows.withColumns(module._text_keys())
+    signed = rows.dropDuplicates().withColumn("_row", F.expr("coalesce(_id, 9L)"))
+    members = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (9, 0)], "_row long, _high long")
+    got = module._texts_of(rows.repartition(7), signed, members).collect()
+    assert sorted((r["_row"], r["_text"]) for r in got) == [(1, base), (2, changed(base, 60)), (9, base)]
