@@ -109,9 +109,13 @@ def classify_files(
     result: str,
     vectors: DataFrame | None = None,
     thresholds: Thresholds = Thresholds(),
+    multi_line: bool = False,
 ) -> None:
-    """``classify`` from CSV to CSV: paths of the entities, the keywords (in load order) and the taxonomy, and of the result."""
-    rows = csv.read_entities(spark, entities)
+    """``classify`` from CSV to CSV: paths of the entities, the keywords (in load order) and the taxonomy, and of the result.
+
+    Entities whose quoted fields hold line breaks need ``multi_line``, as in ``read_entities``.
+    """
+    rows = csv.read_entities(spark, entities, multi_line=multi_line)
     ordered = tables.read_dimension(spark, keywords, tables.KEYWORD_SCHEMA, order_column="load_order")
     degrees = tables.read_dimension(spark, taxonomy, tables.TAXONOMY_SCHEMA)
     csv.write_result(classify(rows, ordered, degrees, "load_order", vectors, thresholds), result)

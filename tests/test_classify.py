@@ -114,3 +114,13 @@ def test_load_order_decides_and_not_the_alphabet(spark, tmp_path):
     classify_files(spark, *paths, str(tmp_path / "out"))
     (row,) = csv.read_entities(spark, str(tmp_path / "out")).collect()
     assert (row.degree_level, row.degree_name) == ("Postgraduate", "civil law")
+
+
+def test_names_with_line_breaks_from_file_to_file(spark, tmp_path):
+    (tmp_path / "keywords.csv").write_text("clean_word,type\nmaster,Postgraduate\n")
+    (tmp_path / "entities.csv").write_text('id,name,cluster\n1,"Master of\nCivil Law",k\n2,Master of Civil Law,k\n')
+    (tmp_path / "taxonomy.csv").write_text("id,degree_name\n5,Civil Law\n")
+    paths = [str(tmp_path / f"{n}.csv") for n in ("entities", "keywords", "taxonomy")]
+    classify_files(spark, *paths, str(tmp_path / "out"), multi_line=True)
+    got = csv.read_entities(spark, str(tmp_path / "out"), multi_line=True).collect()
+    assert {(r.id, r.cluster, r.degree_level, r.degree_name) for r in got} == {(i, "k", "Postgraduate", "civil law") for i in ("1", "2")}

@@ -131,6 +131,12 @@ def test_training_from_a_folder(spark, folder, tmp_path):
     assert tables.read_model(str(tmp_path / "model")).getOrDefault("numPartitions") == 2
 
 
+def test_training_on_names_with_line_breaks(spark, folder, tmp_path):
+    path = folder(a='id,name,cluster\n1,"tax\nlaw",c\n2,"tax\nlaw",c\n')
+    model, rejected = train_from_folder(spark, path, str(tmp_path / "model"), 2, vector_size=4, epochs=1, multi_line=True)
+    assert {r.word for r in model.getVectors().collect()} == {"tax", "law"} and rejected.count() == 0
+
+
 def test_staged_tables_can_be_deleted(spark):
     staged = staging.stage(spark.range(5).toDF("n"), "numbers")
     assert staged.count() == 5
