@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from workload import queries
 
 SF_DIR = driver.ENTRY_DIR
 TABLES = ("part", "documents", "embeddings", "benchmark", "conversations")
@@ -39,3 +40,16 @@ def test_query(spark, database, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_damaged_corpus_is_written_by_several_tasks(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        folder = queries._damaged_corpus(spark, SF_DIR)
+    finally:
+        spark.conf.set(key, before)
+    files = spark.sparkContext.wholeTextFiles(f"{folder}/whole.csv/*.txt").values().map(str.splitlines).collect()
+    assert len(files) > 1 and all(lines[0] == "id,name,cluster" and len(lines) > 1 for lines in files)
+    assert sum(len(lines) - 1 for lines in files) == spark.read.parquet(f"{SF_DIR}/part.parquet").count()

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -380,6 +382,12 @@ def corpus_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.select("id", "name", "cluster")
 
 
+def _headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of a file after a header line of its own."""
+    yield pa.RecordBatch.from_arrays([pa.array(["id,name,cluster"])], names=["value"])
+    yield from batches
+
+
 def _damaged_corpus(spark: SparkSession, sf_dir: str) -> str:
     """Lines of the parts in one folder: some with a quote never closed, some too long, some too short; and a file of another kind."""
     folder = _scratch(spark, "damaged")
@@ -388,9 +396,8 @@ def _damaged_corpus(spark: SparkSession, sf_dir: str) -> str:
     cluster = F.when(key % 7 == 1, F.concat("cluster", F.lit(",more"))).otherwise(F.col("cluster"))
     rest = F.when(key % 7 == 2, F.lit("")).otherwise(F.concat(F.lit(","), cluster))
     body = given.entities(spark, sf_dir).select(F.concat("id", F.lit(","), name, rest).alias("value"), key.alias("key"))
-    header = body.agg(F.lit("id,name,cluster").alias("value"), F.lit(0).cast("bigint").alias("key"))
-    lines = header.union(body).repartition(1).sortWithinPartitions("key")
-    lines.select("value").write.mode("append").option("compression", "none").text(f"{folder}/whole.csv")
+    lines = body.repartitionByRange("key").sortWithinPartitions("key").select("value").mapInArrow(_headed, "value string")
+    lines.write.mode("append").option("compression", "none").text(f"{folder}/whole.csv")
     other = body.agg(F.concat(F.lit("foo,bar,"), F.count("*").cast("string")).alias("value"))
     other.write.mode("append").text(f"{folder}/other.csv")
     return folder
