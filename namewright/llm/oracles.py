@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from namewright.llm.fill_in_middle import MIDDLE, PLAIN_SHARE, PREFIX, SPM_SHARE, SUFFIX
 from namewright.llm.mixing import DRAW_MEAN, TERMS
 from namewright.llm.quality_rules import CLASSES, COMMON_WORDS, N_COMMON, Rules
+from namewright.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 OP1 = """
 WITH RECURSIVE vectors AS (
@@ -160,6 +162,73 @@ FROM judged
 """
 
 
+OP11 = f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest
+    FROM documents
+), drawn AS (
+    SELECT *, len(units) AS n, ('0x' || substr(digest, 1, 8))::BIGINT % (len(units) + 1) AS one,
+           ('0x' || substr(digest, 9, 8))::BIGINT % (len(units) + 1) AS two,
+           CASE WHEN t = '' OR contains(t, '{PREFIX}') OR contains(t, '{SUFFIX}') OR contains(t, '{MIDDLE}')
+                  OR ('0x' || substr(digest, 17, 8))::BIGINT % 100 >= {100 - PLAIN_SHARE} THEN 'plain'
+                WHEN ('0x' || substr(digest, 25, 8))::BIGINT % 100 < {SPM_SHARE} THEN 'spm' ELSE 'psm' END AS form
+    FROM texts
+), parted AS (
+    SELECT *, array_to_string(units[1:least(one, two)], '') AS prefix, array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+           array_to_string(units[greatest(one, two) + 1:], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{PREFIX}' || prefix || '{SUFFIX}' || suffix || '{MIDDLE}' || middle
+                        ELSE '{SUFFIX}' || suffix || '{PREFIX}' || prefix || '{MIDDLE}' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parted
+"""
+
+
+def _op12() -> str:
+    steps = []
+    for turn in range(ROUNDS + 1):
+        # Entries by part, entry and position; the nearest one of each part of each vector; and its mean.
+        steps.append(f"""
+near{turn} AS MATERIALIZED (
+    SELECT number, part, min(distance * {ENTRIES} + entry) % {ENTRIES} AS entry, min(distance) AS distance
+    FROM (SELECT v.number, v.part, b.entry, sum((v.x - b.c) * (v.x - b.c))::BIGINT AS distance
+          FROM pieces v JOIN books{turn} b USING (part, place) GROUP BY v.number, v.part, b.entry)
+    GROUP BY number, part
+)""")
+        if turn < ROUNDS:
+            steps.append(f"""
+means{turn} AS MATERIALIZED (
+    SELECT part, entry, place, sum(x)::BIGINT AS s, count(*) AS n FROM near{turn} JOIN pieces USING (number, part) GROUP BY part, entry, place
+), books{turn + 1} AS MATERIALIZED (
+    SELECT part, entry, place, CASE WHEN n IS NULL THEN c ELSE ((s - ((s % n) + n) % n) // n)::BIGINT END AS c
+    FROM books{turn} LEFT JOIN means{turn} USING (part, entry, place)
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v, row_number() OVER () AS number FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pieces AS MATERIALIZED (
+    SELECT number, (spot - 1) // (size // {PARTS}) AS part, (spot - 1) % (size // {PARTS}) AS place, x
+    FROM (SELECT number, len(v) AS size, unnest(v) AS x, generate_subscripts(v, 1) AS spot FROM kept)
+), firsts AS (
+    SELECT number, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM kept QUALIFY entry < {ENTRIES}
+), books0 AS MATERIALIZED (
+    SELECT part, entry, place, x AS c FROM pieces JOIN firsts USING (number)
+), {",".join(steps)},
+coded AS (
+    SELECT vec_id, label, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error
+    FROM near{ROUNDS} JOIN kept USING (number) GROUP BY number, vec_id, label
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) FROM books{ROUNDS}) AS codebooks_sha256
+FROM coded
+"""
+
+
 ORACLES = {
     "op1_embedding_dedup": OP1, "op3_preference_formatting": OP3, "op5_poisson_mixing": OP5, "op10_quality_rules": _op10(),
+    "op11_fill_in_middle": OP11, "op12_vector_codes": _op12(),
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from namewright.llm.byte_bpe import decode_documents, encode_documents
 from namewright.llm.embedding_dedup import embedding_dedup
+from namewright.llm.fill_in_middle import fill_in_middle, restored
 from namewright.llm.license_scan import license_scan
 from namewright.llm.mixing import mix_sources, tempered_targets
 from namewright.llm.near_dedup import near_dedup
@@ -15,6 +17,7 @@ from namewright.llm.quality_classifier import quality_classifier
 from namewright.llm.quality_rules import quality_rules
 from namewright.llm.secret_scan import secret_scan
 from namewright.llm.sharding import shard_documents
+from namewright.llm.vector_codes import compress, label_errors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,10 +93,33 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = compress(_table(spark, sf_dir, "embeddings"))
+    return label_errors(codes).select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(_table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id", F.size("starts").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(decode_documents(F.col("ids")), 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_chars"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_dedup, op2_best_fit_packing, op3_preference_formatting, op4_quality_classifier, op5_poisson_mixing,
-        op6_secret_scan, op7_sharding, op8_license_scan, op9_near_dedup, op10_quality_rules,
+        op6_secret_scan, op7_sharding, op8_license_scan, op9_near_dedup, op10_quality_rules, op11_fill_in_middle, op12_vector_codes,
+        op13_byte_bpe,
     )
 }
