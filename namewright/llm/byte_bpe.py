@@ -8,6 +8,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -83,8 +84,15 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 # Encoding
 
-#: A space or line feed after a character that is no white space: no match goes across, and none looks back.
-_BORDER = re.compile(r"(?<=\S)[ \n]")
+#: The white space of the public pattern.
+_SPACE = r" \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space and what follows up to the next: no match of the pattern goes on from other characters to white space, and none looks back.
+_PARTS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_WHITE = frozenset(c for c in map(chr, range(0x3001)) if re.fullmatch(f"[{_SPACE}]", c))
+_BORDER = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]")
+
+#: Parts of texts, and ids of such, that a worker keeps at most between two chunks; parts that the library is given as one text.
+KEPT, KEPT_IDS, JOINED = 200_000, 2_000_000, 4096
 
 
 def _segments(text: str) -> Iterator[str]:
@@ -96,28 +104,69 @@ def _segments(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def encode_texts(texts: Iterable[str], path: str) -> Iterator[np.ndarray]:
-    """Token ids of each text."""
-    encoder = tokenizer(path)
-    waiting, size = [], 0
+class _Parts:
+    """Different parts of texts with their ids, one after another."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+
+    def add(self, new: list[str]) -> None:
+        """Parts that begin, but don't end, with white space may follow one another as they would in a text: many are encoded as one."""
+        follow = [p for p in new if p[0] in _WHITE and p[-1] not in _WHITE]
+        alone = list(set(new).difference(follow))
+        runs = [follow[at : at + JOINED] for at in range(0, len(follow), JOINED)] + [[p] for p in alone]
+        _, _, sizes = _token_bytes(self.path)
+        ids, ends = [self.ids], [self.ends]
+        total = len(self.ids)
+        for run, made in zip(runs, tokenizer(self.path).encode_batch_fast(["".join(run) for run in runs], add_special_tokens=False), strict=True):
+            ids.append(np.array(made.ids, dtype="<u4"))
+            until = np.cumsum([len(p.encode()) for p in run])
+            ends.append(total + np.searchsorted(np.cumsum(sizes[ids[-1]]), until) + 1)
+            total += len(ids[-1])
+        self.places.update(zip([*follow, *alone], range(len(self.places), len(self.places) + len(new)), strict=True))
+        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.places) > KEPT or len(self.ids) > KEPT_IDS:
+            self.clear()
+        parts = [_PARTS.findall(text) for text in texts]
+        if new := list(set(chain.from_iterable(parts)) - self.places.keys()):
+            self.add(new)
+        places = np.fromiter(map(self.places.__getitem__, chain.from_iterable(parts)), dtype=np.int64)
+        starts = np.concatenate([[0], self.ends[:-1]])[places] if len(places) else places
+        lengths = self.ends[places] - starts
+        until = np.concatenate([[0], np.cumsum(lengths)])
+        found = self.ids[np.repeat(starts - until[:-1], lengths) + np.arange(until[-1])]
+        borders = until[np.cumsum([0, *map(len, parts)])]
+        return [found[low:high] for low, high in zip(borders, borders[1:], strict=False)]
+
+
+@cache
+def _parts(path: str) -> _Parts:
+    return _Parts(path)
 
-    def flush() -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in encoder.encode_batch_fast(waiting, add_special_tokens=False)]
 
+def encode_texts(texts: Iterable[str], path: str) -> Iterator[np.ndarray]:
+    """Token ids of each text. Each different part of a chunk of texts is encoded once, and frequent ones are kept."""
+    parts = _parts(path)
+    waiting, size = [], 0
     for text in texts:
         if len(text) > CHUNK:
-            yield from flush()
+            yield from parts.encode(waiting)
             waiting, size = [], 0
-            yield np.concatenate([
-                np.array(encoder.encode_batch_fast([s], add_special_tokens=False)[0].ids, dtype="<u4") for s in _segments(text)
-            ])
+            yield np.concatenate([parts.encode([segment])[0] for segment in _segments(text)])
             continue
         waiting.append(text)
         size += len(text)
         if size >= CHUNK:
-            yield from flush()
+            yield from parts.encode(waiting)
             waiting, size = [], 0
-    yield from flush()
+    yield from parts.encode(waiting)
 
 
 def offsets(text: str, ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:

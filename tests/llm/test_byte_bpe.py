@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import cache
 
 import numpy as np
@@ -33,7 +34,7 @@ def sha(data):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.one_of(st.text(max_size=80), st.text(alphabet="aé 'st\n\t|<%1 ́　東🇩abA", max_size=60)))
+@given(st.one_of(st.text(max_size=80), st.text(alphabet="aé 'st\n\t|<%1!\x1c\x1f\x85\xa0\u1680\u200b\u2028\u3000\u180e東🇩\u0301abA", max_size=60)))
 def test_ids_are_those_of_the_rank_library(text):
     ids = encoded(text)
     assert ids == library().encode_ordinary(text)
@@ -57,6 +58,23 @@ def test_repeats_and_special_strings():
         assert encoded(text) == library().encode_ordinary(text)
 
 
+def test_white_space_is_that_of_the_pattern():
+    import tiktoken
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    spaces = tiktoken.Encoding("s", pat_str=r"\s", mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+    assert bytes(spaces.encode_ordinary(every)).decode() == re.sub(f"[^{bpe._SPACE}]", "", every)
+
+
+def test_kept_parts_change_nothing(monkeypatch):
+    texts = [prose(i, 60) + " \x1c\x1d x  y\u3000z " + "y" * 100 for i in range(30)] * 2
+    for kept, joined in ((50, 7), (1000, 1), (0, 4096)):
+        monkeypatch.setattr(bpe, "KEPT", kept)
+        monkeypatch.setattr(bpe, "JOINED", joined)
+        monkeypatch.setattr(bpe, "CHUNK", 500)
+        assert [i.tolist() for i in bpe.encode_texts(texts, PATH)] == [library().encode_ordinary(t) for t in texts]
+
+
 @pytest.mark.parametrize("chunk", [1, 7, 100])
 def test_segments_are_encoded_as_in_the_whole(monkeypatch, chunk):
     text = prose(3, 200) + "  two  spaces \n\n lines　　wide \x1c odd  " + "don't I'll " * 9 + "x" * 300 + "   "
