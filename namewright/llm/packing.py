@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -39,15 +40,15 @@ _LONG_RUN = 1000
 
 @cache
 def _encoders(path: str):
-    """The tokenizer of ``path``, and the faster reader of its rank file, if there is one beside it."""
+    """The tokenizer of ``path``, the faster reader of its rank file, if there is one beside it, and the tokens added to the vocabulary."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(path)
-    exact.encode_special_tokens = True
+    added = tuple(token.content for token in exact.get_added_tokens_decoder().values())
     ranks = os.path.splitext(path)[0] + ".tiktoken"
     if not os.path.exists(ranks):
-        return exact, None
+        return exact, None, added
     import base64
 
     import public_tokenizers
@@ -55,13 +56,16 @@ def _encoders(path: str):
 
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
-    return exact, tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    return exact, tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}), added
 
 
 def encode(text: str, path: str) -> list[int]:
-    """Token ids by ``tokenizers``; common texts take the same vocabulary's rank file, four times faster."""
-    exact, fast = _encoders(path)
-    if fast is not None and _COMMON.fullmatch(text) and (
+    """Token ids by ``tokenizers``; common texts take the same vocabulary's rank file, four times faster.
+
+    The rank file knows no added tokens: texts that hold the string of one go to ``tokenizers``, which takes it for the token.
+    """
+    exact, fast, added = _encoders(path)
+    if fast is not None and _COMMON.fullmatch(text) and not any(token in text for token in added) and (
         len(text) < _LONG_RUN
         or " " * _LONG_RUN not in text and "\n" * _LONG_RUN not in text and max(map(len, text.split()), default=0) < _LONG_RUN
     ):
@@ -147,11 +151,19 @@ def sequences(packed: DataFrame) -> DataFrame:
 def plan_patterns(lengths: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of a sequence, number of such sequences), using up all counts.
 
-    The longest length left opens a sequence. Its gap is looked up among the lengths, then the sums of pairs, then of triples, that are
-    available as often as needed; where none fits exactly, the longest length that fits goes in (best fit) and the rest of the gap is
-    looked up again. The pattern is repeated as often as its scarcest length allows, so each uses up a length and there are at most
-    ``capacity`` patterns.
+    Combinations of one, two or three lengths that exactly fill a gap are looked up by their sum in an index, under the counts left;
+    what remains is placed by best fit. Where to stop with exact fills depends on the lengths: short ones spent early are
+    missing later. So a few plans are made, a matter of milliseconds as they work on counts, and the one of the fewest sequences is kept: the one
+    that fills every gap as it comes, and those that take exact fills by one, two or three lengths and leave all others to best fit in
+    decreasing order. The last needs no more sequences than best fit alone does.
     """
+    plans = [_fill_gaps(lengths, capacity), *(_fill_exactly(lengths, capacity, most) for most in (3, 2, 0))]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _fill_gaps(lengths: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The longest length left opens a sequence; where no combination fits its gap exactly, the longest length that fits goes in and the
+    rest of the gap is looked up again. The pattern is repeated as often as its scarcest length allows, so each uses up a length."""
     stock = _Stock(lengths, capacity)
     patterns = []
     while stock.available:
@@ -162,27 +174,93 @@ def plan_patterns(lengths: dict[int, int], capacity: int) -> list[tuple[tuple[in
                 break
             pattern.update(taken)
             gap -= sum(taken)
-        times = min(stock.counts[length] // n for length, n in pattern.items())
-        stock.take(pattern, times)
-        patterns.append((tuple(sorted(pattern.elements(), reverse=True)), times))
+        patterns.append(stock.spend(pattern))
     return patterns
 
 
+def _fill_exactly(lengths: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """Sequences that a length and at most ``most`` others fill exactly, the longest first; then best fit."""
+    stock = _Stock(lengths, capacity)
+    patterns = []
+    for length in sorted(stock.counts, reverse=True):
+        while stock.counts[length] and (length == capacity or most):
+            opened = Counter([length])
+            taken = stock.exact(capacity - length, opened, most, even=True) if length < capacity else ()
+            if length < capacity and not taken:
+                break
+            patterns.append(stock.spend(opened + Counter(taken)))
+    return patterns + _best_fit_decreasing(stock.counts, capacity)
+
+
+def _best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Every length, the longest first, goes where it leaves the least gap. Sequences alike are one entry with their number."""
+    open_: dict[int, list[tuple[tuple[int, ...], int]]] = {}
+    gaps: list[int] = []
+    for length in sorted((k for k, n in counts.items() if n), reverse=True):
+        left = counts[length]
+        while left:
+            at = bisect_left(gaps, length)
+            if at == len(gaps):
+                # New sequences take as many of the length as they hold.
+                each = capacity // length
+                for n, times in ((each, left // each), (left % each, 1)):
+                    if n and times:
+                        _leave(open_, gaps, capacity - n * length, ((length,) * n, times))
+                break
+            gap = gaps[at]
+            pattern, times = open_[gap].pop()
+            used = min(times, left)
+            if used < times:
+                open_[gap].append((pattern, times - used))
+            if not open_[gap]:
+                del open_[gap], gaps[at]
+            _leave(open_, gaps, gap - length, ((*pattern, length), used))
+            left -= used
+    return [entry for entries in open_.values() for entry in entries]
+
+
+def _leave(open_: dict[int, list], gaps: list[int], gap: int, entry: tuple[tuple[int, ...], int]) -> None:
+    if gap not in open_:
+        open_[gap] = []
+        insort(gaps, gap)
+    open_[gap].append(entry)
+
+
 class _Stock:
-    """Counts by length; the lengths in stock are the bits of one number, and mirrored those of another."""
+    """Counts by length, and an index of the sums that the lengths in stock have alone, in pairs and in triples.
+
+    ``pairs`` and ``triples`` count, by their sum, the ordered choices of two and three lengths in stock, one chosen twice included. When a length
+    runs out, its choices are subtracted: an addition per sum. A sum without choices is never searched.
+    """
 
     def __init__(self, lengths: dict[int, int], capacity: int) -> None:
         self.capacity = capacity
         self.counts = Counter({length: n for length, n in lengths.items() if n > 0})
         self.available = sum(1 << length for length in self.counts)
-        self.mirrored = sum(1 << (capacity - length) for length in self.counts)
-
-    def take(self, pattern: Counter[int], times: int) -> None:
+        self.single = np.zeros(capacity + 1, dtype=np.int64)
+        self.single[list(self.counts)] = 1
+        self.pairs = np.convolve(self.single, self.single)[: capacity + 1]
+        self.triples = np.convolve(self.pairs, self.single)[: capacity + 1]
+
+    def spend(self, pattern: Counter[int]) -> tuple[tuple[int, ...], int]:
+        """Takes as many of a pattern as its scarcest length allows; the pattern and how many."""
+        times = min(self.counts[length] // n for length, n in pattern.items())
         for length, n in pattern.items():
             self.counts[length] -= n * times
             if not self.counts[length]:
-                self.available ^= 1 << length
-                self.mirrored ^= 1 << (self.capacity - length)
+                self._run_out(length)
+        return tuple(sorted(pattern.elements(), reverse=True)), times
+
+    def _run_out(self, length: int) -> None:
+        self.available ^= 1 << length
+        self.triples[length:] -= 3 * self.pairs[: self.capacity + 1 - length]
+        self.triples[2 * length :] += 3 * self.single[: max(self.capacity + 1 - 2 * length, 0)]
+        self.pairs[length:] -= 2 * self.single[: self.capacity + 1 - length]
+        self.single[length] = 0
+        if 2 * length <= self.capacity:
+            self.pairs[2 * length] += 1
+        if 3 * length <= self.capacity:
+            self.triples[3 * length] -= 1
 
     def _enough(self, pattern: Counter[int], *more: int) -> bool:
         wanted = Counter(more)
@@ -197,34 +275,37 @@ class _Stock:
             left ^= 1 << length
         return 0
 
-    def _pair(self, total: int, pattern: Counter[int], *with_: int) -> tuple[int, ...]:
+    def _firsts(self, total: int, parts: int, even: bool) -> list[int]:
+        """Lengths that may be the longest of ``parts`` with this sum, from the longest down, or up from the evenest."""
+        low = -(-total // parts)
+        found = np.flatnonzero(self.single[low:total]) + low
+        if parts == 3:
+            found = found[self.pairs[total - found] > 0]
+        return (found if even else found[::-1]).tolist()
+
+    def _pair(self, total: int, pattern: Counter[int], even: bool, *with_: int) -> tuple[int, ...]:
         """Two available lengths of this sum, the longest first."""
-        if total < 2:
+        if total < 2 or not self.pairs[total]:
             return ()
-        both = self.available & (self.mirrored >> (self.capacity - total)) & ((1 << total) - 2)
-        while both:
-            length = both.bit_length() - 1
-            if 2 * length < total:
-                return ()
-            if self._enough(pattern, length, total - length, *with_):
+        for length in self._firsts(total, 2, even):
+            if self.single[total - length] and self._enough(pattern, length, total - length, *with_):
                 return (length, total - length)
-            both ^= 1 << length
         return ()
 
-    def complement(self, gap: int, pattern: Counter[int]) -> tuple[int, ...]:
-        if self.available >> gap & 1 and self._enough(pattern, gap):
+    def exact(self, gap: int, pattern: Counter[int], most: int = 3, even: bool = False) -> tuple[int, ...]:
+        """Up to ``most`` available lengths of this sum, as few as there are."""
+        if most >= 1 and self.single[gap] and self._enough(pattern, gap):
             return (gap,)
-        if found := self._pair(gap, pattern):
+        if most >= 2 and (found := self._pair(gap, pattern, even)):
             return found
-        left = self.available & ((1 << gap) - 1)
-        while left:
-            length = left.bit_length() - 1
-            if 3 * length < gap:
-                break
-            if found := self._pair(gap - length, pattern, length):
-                return (length, *found)
-            left ^= 1 << length
-        return (self.longest(gap, pattern),)
+        if most >= 3 and self.triples[gap]:
+            for length in self._firsts(gap, 3, even):
+                if found := self._pair(gap - length, pattern, even, length):
+                    return (length, *found)
+        return ()
+
+    def complement(self, gap: int, pattern: Counter[int]) -> tuple[int, ...]:
+        return self.exact(gap, pattern) or (self.longest(gap, pattern),)
 
 
 def _spans(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from namewright.llm.packing import best_fit_pack, encode, plan_patterns, sequences, tokenise, vocabulary
+from namewright.llm.packing import _Stock, best_fit_pack, encode, plan_patterns, sequences, tokenise, vocabulary
 from namewright.llm.queries import op2_best_fit_packing
 from tests.llm.tables import awkward, documents, empty, prose
 
@@ -21,7 +21,6 @@ def plain_ids(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
 
 
@@ -36,6 +35,11 @@ def test_long_runs_and_special_strings():
         assert [*encode(text, PATH), 2] == plain_ids(text)
 
 
+def test_an_added_token_in_a_text_is_that_token():
+    for text in ("a <|endoftext|> b", "<|endoftext|>" * 3, prose(2, 900) + "<|endoftext|>"):
+        assert 50256 in encode(text, PATH) and [*encode(text, PATH), 2] == plain_ids(text)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(0, 9), max_size=25))
 def test_patterns_use_everything_up(lengths):
@@ -45,7 +49,39 @@ def test_patterns_use_everything_up(lengths):
         assert times > 0 and sum(pattern) <= 40
         used.update({length: n * times for length, n in Counter(pattern).items()})
     assert used == Counter({k: v for k, v in lengths.items() if v})
-    assert len(patterns) <= 40
+    assert len(patterns) <= 80
+    assert sum(times for _, times in patterns) <= best_fit_decreasing(lengths, 40)
+
+
+def best_fit_decreasing(lengths, capacity):
+    gaps = []
+    for length in sorted(Counter(lengths).elements(), reverse=True):
+        fitting = [gap for gap in gaps if gap >= length]
+        if fitting:
+            gaps.remove(min(fitting))
+        gaps.append((min(fitting) if fitting else capacity) - length)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_no_more_sequences_than_best_fit_decreasing(seed):
+    draw = random.Random(seed)
+    spread = (lambda: draw.randint(1, 1024), lambda: min(1024, int(draw.lognormvariate(5.5, 1)) + 1), lambda: draw.choice([1024, 700, 130, 324, 5, 512, 171]))
+    lengths = Counter(spread[seed % 3]() for _ in range(1500))
+    n = sum(times for _, times in plan_patterns(lengths, 1024))
+    assert -(-sum(length * c for length, c in lengths.items()) // 1024) <= n <= best_fit_decreasing(lengths, 1024)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 3), min_size=1, max_size=12), st.randoms())
+def test_sums_follow_the_lengths_in_stock(lengths, draw):
+    stock = _Stock(lengths, 30)
+    for length in draw.sample(sorted(lengths), draw.randint(0, len(lengths))):
+        while stock.counts[length]:
+            stock.spend(Counter([length]))
+    left = [k for k, n in stock.counts.items() if n]
+    pairs, triples = Counter(a + b for a in left for b in left), Counter(a + b + c for a in left for b in left for c in left)
+    assert stock.pairs.tolist() == [pairs[s] for s in range(31)] and stock.triples.tolist() == [triples[s] for s in range(31)]
 
 
 def test_exact_complements_fill_sequences():
