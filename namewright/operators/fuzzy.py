@@ -58,12 +58,21 @@ def correction_dictionary(
     return matches.groupBy("token").agg(best.alias("best")).select("token", "best.*")
 
 
+#: Letters whose upper or lower case is not one letter, or depends on those around it.
+_UNEVEN_CASE = r"[ßİŉǰΐΣΰςσևẖ-ẚẞἀ-῿ﬀ-ﬗ]"
+
+
+def _folded(value: Column) -> Column:
+    return F.lower(F.upper(value))
+
+
 def _rebuilt(df: DataFrame, column: str) -> DataFrame:
     """Add ``name_corrected``: each match replaces its first whole-word occurrence in turn, on the running text.
 
-    Most texts are plain: distinct words of letters and digits, none both replaced and inserted. Their words and changes are
+    Plain texts are distinct words of letters and digits, none both replaced and inserted. Their words and changes are
     sorted together, each word takes the change before it, and the words go back to their places: n log n
-    for the longest text. The steps are columns, so that none is evaluated again for every word.
+    for the longest text. Other texts are cut once into words and what lies between, see ``_pieced``. What neither can
+    express is replaced match by match. The steps are columns, so that none is evaluated again for every word.
     """
     name, words, changes, together = (F.col(c) for c in (column, "_words", "_changes", "_together"))
     plain = (
@@ -93,16 +102,78 @@ def _rebuilt(df: DataFrame, column: str) -> DataFrame:
         ),
     )
     unchanged = name.isNull() | F.col("_matches").isNull() | (F.size("_matches") == 0)
-    return (
+    sorted_in = (
         df.withColumns({"_words": F.split(name, " "), "_changes": F.filter("_matches", lambda m: m["token"] != m["target"])})
         .withColumn("_plain", ~unchanged & plain)
         .withColumn("_together", F.when(F.col("_plain"), F.sort_array(F.concat(own, new))))
         .withColumn("_placed", F.when(F.col("_plain"), placed))
+    )
+    return (
+        _pieced(sorted_in, column, ~unchanged & ~F.col("_plain"))
         .withColumn(
             "name_corrected",
-            F.when(unchanged, name).when(F.col("_plain"), F.array_join(F.transform("_placed", lambda e: e["word"]), " ")).otherwise(general),
+            F.when(unchanged, name).when(F.col("_plain"), F.array_join(F.transform("_placed", lambda e: e["word"]), " "))
+            .when(F.col("_apart"), F.col("_joined")).otherwise(general),
         )
-        .drop("_words", "_changes", "_plain", "_together", "_placed")
+        .drop("_words", "_changes", "_plain", "_together", "_placed", "_apart", "_steps", "_joined")
+    )
+
+
+def _pieced(df: DataFrame, column: str, wanted: Column) -> DataFrame:
+    """Adds ``_apart``, whether a text is put together from its pieces, and ``_joined``, the text then.
+
+    A token occurs as a whole word exactly where a run of word characters equals it but for case. A replaced run becomes its
+    target, which is a run too, so places never move. A match takes the first place of its token: the first in the text, or that of an
+    earlier match with this target if it lies before. Each place ends as the last match that took it left it. Tokens and runs are sorted
+    together to find the first places, targets and pieces to put the text together: n log n in words and matches, whatever marks and
+    repeats there are. Not so where a match could take what was inserted at a place that was itself taken so, or part of a
+    longer target, or where letters have no simple case.
+    """
+    steps = F.transform("_matches", lambda m, i: F.struct(_folded(m["token"]).alias("key"), i.alias("step"), _folded(m["target"]).alias("made"), m["target"].alias("target")))
+    later = F.array_intersect(F.transform("_steps", lambda s: s["key"]), F.transform("_steps", lambda s: s["made"]))
+    longer = F.filter(F.transform("_steps", lambda s: s["made"]), lambda t: F.rlike(t, F.lit(f"[^{text.WORD_CHAR[1:]}")))
+    inner = F.flatten(F.transform(longer, lambda t: F.split(t, f"[^{text.WORD_CHAR[1:]}+")))
+    simple = (
+        ~F.rlike(F.col(column), F.lit(_UNEVEN_CASE))
+        & F.forall("_steps", lambda s: ~F.rlike(s["made"], F.lit(_UNEVEN_CASE)))
+        & ~F.arrays_overlap(inner, F.transform("_steps", lambda s: s["key"]))
+    )
+    pieces = F.regexp_extract_all(F.col(column), F.lit(f"{text.WORD_CHAR}+|[^{text.WORD_CHAR[1:]}+"), F.lit(0))
+    runs = F.transform("_pieces", lambda p, i: F.struct(_folded(p).alias("key"), i.alias("place"), F.lit(-1).alias("step")))
+    marks = F.transform("_steps", lambda s: F.struct(s["key"].alias("key"), F.lit(-1).alias("place"), s["step"].alias("step")))
+    met = F.col("_met")
+
+    def first_place(entry: Column, i: Column) -> Column:
+        after = F.get(met, i + 1)
+        place = F.when((after["key"] == entry["key"]) & (after["place"] >= 0), after["place"])
+        return F.struct(entry["step"].alias("step"), place.alias("place"))
+
+    # In the order of steps, so that the entry of a step is found by its number.
+    first = F.sort_array(F.filter(F.transform(met, first_place), lambda e: e["step"] >= 0))
+
+    def taken(step: Column) -> Column:
+        own = F.get(F.col("_first"), step["step"])["place"]
+        earlier = F.filter("_steps", lambda s: (s["made"] == step["key"]) & (s["step"] < step["step"]))
+        inserted = F.array_min(F.transform(earlier, lambda s: F.get(F.col("_first"), s["step"])["place"]))
+        place = F.when(F.array_contains("_later", step["key"]), F.least(own, inserted)).otherwise(own)
+        return F.struct(place.alias("place"), step["step"].alias("step"), step["target"].alias("text"))
+
+    done = F.filter(F.transform("_steps", taken), lambda e: e["place"].isNotNull())
+    given = F.transform("_pieces", lambda p, i: F.struct(i.alias("place"), F.lit(-1).alias("step"), p.alias("text")))
+    placed = F.col("_placed_pieces")
+    last = F.filter(placed, lambda e, i: ~F.coalesce(F.get(placed, i + 1)["place"] == e["place"], F.lit(False)))
+    apart = F.col("_apart")
+    return (
+        df.withColumn("_steps", F.when(wanted, steps))
+        .withColumn("_later", later)
+        # A match that may take what another one inserted leaves it as it is.
+        .withColumn("_apart", F.coalesce(simple & F.forall("_steps", lambda s: ~F.array_contains("_later", s["key"]) | (s["made"] == s["key"])), F.lit(False)))
+        .withColumn("_pieces", F.when(apart, pieces))
+        .withColumn("_met", F.when(apart, F.sort_array(F.concat(runs, marks))))
+        .withColumn("_first", F.when(apart, first))
+        .withColumn("_placed_pieces", F.when(apart, F.sort_array(F.concat(given, done))))
+        .withColumn("_joined", F.when(apart, F.array_join(F.transform(last, lambda e: e["text"]), "")))
+        .drop("_later", "_pieces", "_met", "_first", "_placed_pieces")
     )
 
 
