@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import csv
+import io
 import re
-from collections import defaultdict
+import sys
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import and_
 from pathlib import PurePosixPath
 from urllib.parse import unquote
 
@@ -15,14 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from namewright.config import CSV_DELIMITERS
+from namewright.sources.records import read_lines, read_records, read_splits
+from namewright.sources.staging import stage
 
 CORPUS_COLUMNS = ("id", "name", "cluster")
 REJECTED_SCHEMA = "file string, reason string"
-#: A longer first line is no header.
-HEADER_BYTES = 1 << 16
-#: Files whose first line is read at the same time.
-HEADER_THREADS = 16
-
 NO_CONTENT, COLUMNS_MISSING, OPEN_QUOTE = "no content", "columns missing", "quote never closed"
 
 
@@ -34,7 +33,8 @@ def _strings(names: Sequence[str]) -> StructType:
 
 
 def _fields(line: str, delimiter: str) -> list[str]:
-    return next(csv.reader([line.removeprefix("﻿")], delimiter=delimiter), [])
+    csv.field_size_limit(sys.maxsize)
+    return next(csv.reader(io.StringIO(line.removeprefix("﻿"), newline=""), delimiter=delimiter), [])
 
 
 def _file_name(uri: str) -> str:
@@ -46,41 +46,6 @@ def _plain(uri: str) -> str:
     return re.sub("^file:/+", "file:/", unquote(uri))
 
 
-def _header_lines(spark: SparkSession, path: str, pattern: str = "*") -> dict[str, str]:
-    """First line per file, of at most HEADER_BYTES; nothing beyond it is read."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-
-    def first_line(uri: str) -> str:
-        place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-        stream = place.getFileSystem(conf).open(place)
-        try:
-            codec = codecs.getCodec(place)
-            line = jvm.org.apache.hadoop.io.Text()
-            source = stream if codec is None else codec.createInputStream(stream)
-            jvm.org.apache.hadoop.util.LineReader(source).readLine(line, HEADER_BYTES, HEADER_BYTES)
-            return line.toString()
-        finally:
-            stream.close()
-
-    files = spark.read.option("pathGlobFilter", pattern).text(path).inputFiles()
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        return dict(zip(files, pool.map(first_line, files), strict=True))
-
-
-def _reader(spark: SparkSession, names: Sequence[str], delimiter: str, multi_line: bool):
-    return (
-        spark.read.schema(_strings([*names, "_record"]))
-        .option("header", True)
-        .option("sep", delimiter)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", "_record")
-        # A pruned row would hide that it has too many or too few fields.
-        .option("columnPruning", False)
-    )
-
-
 def _unique(names: Sequence[str]) -> list[str]:
     """Header names made usable as columns: blanks and repeats get their position."""
     seen: set[str] = set()
@@ -92,34 +57,78 @@ def _unique(names: Sequence[str]) -> list[str]:
     return result
 
 
-def _quotes(value: Column) -> Column:
-    return F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-
-
-def _open_quote_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Files whose number of quotes is odd: one of them is never closed, or never opened."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(path)
-    counted = lines.select(F.col("_metadata.file_path").alias("path"), _quotes(F.col("value")).alias("n"))
-    return counted.groupBy("path").agg(F.sum("n").alias("n")).where(F.col("n") % 2 == 1).select("path")
+def _field_count(record: Column, delimiter: str) -> Column:
+    unquoted = F.regexp_replace(record, '"[^"]*+(?:""[^"]*+)*+"', "")
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit(""))) + 1
 
 
-def _scan(spark: SparkSession, paths: Sequence[str], header: Sequence[str], delimiter: str, multi_line: bool) -> DataFrame:
-    """Rows of files with this header. ``_record`` is the line of rows that have other than its number of fields.
-
-    A line in which a quote is never closed is read again with quotes as plain characters, so that it keeps its fields.
-    """
-    names = _unique(header)
-    # ``value`` and ``_record`` have nothing to do with columns of those names in the file.
-    inner = [f"_column_{i}" for i in range(len(names))]
-    scan = _reader(spark, inner, delimiter, multi_line).csv([_plain(p) for p in paths])
-    plain = F.from_csv("_record", _strings(inner).simpleString()[7:-1].replace(":", " "), {"sep": delimiter, "quote": ""})
-    broken = F.coalesce(_quotes(F.col("_record")) % 2 == 1, F.lit(False))
-    file = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    rows = scan.select(
-        *(F.when(broken, plain[c]).otherwise(F.col(c)).alias(name) for c, name in zip(inner, names, strict=True)),
-        file.alias("_file"), F.col("_record"), broken.alias("_broken"),
-    )
-    return rows
+class _Layout:
+    """Files of one header and delimiter."""
+
+    def __init__(self, header: list[str], delimiter: str, wanted: Sequence[str] | None = None) -> None:
+        """Of a header with only some ``wanted`` columns, no field after the last of them is kept."""
+        names = _unique(header)
+        last = max((i for i, name in enumerate(names) if name in wanted), default=0) + 1 if wanted else len(names)
+        self.names, self.delimiter, self.width = names[:last], delimiter, len(names)
+        # ``value`` and ``_record`` have nothing to do with columns of those names in the file.
+        self.inner = [f"_column_{i}" for i in range(len(self.names))]
+
+    def parsed(self, record: Column, literal: Column) -> Column:
+        """Fields of a record; ``_record`` is the record itself where it has other than their number."""
+        schema = ", ".join(f"{name} string" for name in [*self.inner, "_record"])
+        options = {
+            "sep": self.delimiter, "escape": '"', "columnNameOfCorruptRecord": "_record", "multiLine": "true",
+            "maxColumns": str(max(self.width + 2, 20480)),
+        }
+        return F.when(literal, F.from_csv(record, schema, {**options, "quote": ""})).otherwise(F.from_csv(record, schema, options))
+
+    def fits(self, parsed: Column) -> Column:
+        """Whether a record has no more fields than the header."""
+        return F.coalesce(_field_count(parsed["_record"], self.delimiter) <= len(self.names), F.lit(True))
+
+    def places(self) -> dict[str, str]:
+        return dict(zip(self.names, self.inner, strict=True))
+
+
+class _Files:
+    """The CSV files of a path: their splits, and their headers."""
+
+    def __init__(self, spark: SparkSession, path: str, pattern: str, delimiters: Sequence[str]) -> None:
+        self.spark, self.path, self.pattern = spark, path, pattern
+        self.lines = read_lines(spark, path, pattern, "".join(delimiters))
+        self.splits = read_splits(self.lines)
+
+    def headers(self) -> DataFrame:
+        """(file, path, head): a row for each file that isn't empty; nothing but names is read again."""
+        names = self.spark.read.option("pathGlobFilter", self.pattern).format("binaryFile").load(self.path)
+        path = F.col("_metadata.file_path")
+        paths = names.select(F.xxhash64(path).alias("file"), path.alias("path"))
+        # Of one name in two cases both are files; equal hashes of names would be one file.
+        return paths.join(self.splits.where("block = 0").select("file", "head"), "file", "left")
+
+    def with_open_quotes(self) -> DataFrame:
+        """Files whose number of quotes is odd: one of them is never closed, or never opened."""
+        return self.splits.groupBy("file").agg(F.sum("n_quotes").alias("_n")).where("_n % 2 = 1").select("file")
+
+    def rows(self, files: DataFrame, layouts: Sequence[_Layout], columns: Sequence[str], keep_long: bool) -> DataFrame:
+        """Records of ``files`` (file, layout, _source) as ``columns``, and ``_source``."""
+        records = read_records(self.lines, self.splits).join(files, "file")
+        # A record is parsed once, by its file's layout.
+        parsed = {
+            f"_parsed_{n}": F.when(F.col("layout") == n, layout.parsed(F.col("record"), F.col("literal"))) for n, layout in enumerate(layouts)
+        }
+        rows = records.withColumns(parsed)
+        if not keep_long:
+            fits = [F.col(name).isNull() | layout.fits(F.col(name)) for name, layout in zip(parsed, layouts, strict=True)]
+            rows = rows.where(F.col("literal") | reduce(and_, fits))
+        places = [(name, layout.places()) for name, layout in zip(parsed, layouts, strict=True)]
+        return rows.select(
+            *(F.coalesce(*(F.col(name)[inner[c]] for name, inner in places if c in inner)).alias(c) for c in columns), F.col("_source")
+        )
+
+
+def _source_file(path: Column) -> Column:
+    return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1), F.lit("+"), F.lit("%2B")))
 
 
 def read_corpus(
@@ -131,38 +140,44 @@ def read_corpus(
 ) -> tuple[DataFrame, DataFrame]:
     """Union of all CSV files of a folder, and the rejected files with a reason.
 
-    A file is read with commas, or else with the first of ``; tab |`` whose header holds all
-    ``columns``; a file without such a header is rejected. Only the first line of each file is read for that.
-    Files that share header and delimiter are one scan. Rows carry ``source_file``; over-long rows are cut and
-    short ones padded with nulls.
+    A file is read with commas, or else with the first of ``; tab |`` whose header, the first record that isn't blank, holds all
+    ``columns``; a file without such a header is rejected, whatever its length. Rows carry ``source_file``; over-long rows are cut and
+    short ones padded with nulls. What reaches the driver are the distinct headers, and the names of the files as Spark lists them.
 
-    Files are split by lines, and a line in which a quote is never closed keeps its fields, quotes included:
-    it can't take in the lines after it. ``multi_line`` allows line breaks inside quotes. It keeps each file in one
-    task, and costs a scan for the files whose quotes don't pair up: they are rejected, as their rows can't be told apart.
+    Quoted fields may hold line breaks. Files are split all the same: one pass finds what each split starts with, another one reads the records
+    (``sources.records``). A quote that is never closed costs no row: its line keeps its fields, quotes included, and can't take in the lines
+    after it. With ``multi_line`` a file whose quotes don't pair up is rejected instead.
     """
-    layouts: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
-    rejected = []
-    headers = _header_lines(spark, folder, pattern)
-    broken = {_plain(r.path) for r in _open_quote_files(spark, folder, pattern).collect()} if multi_line and headers else set()
-    for path, line in sorted(headers.items()):
-        found = [d for d in CSV_DELIMITERS if set(columns) <= set(_fields(line, d))]
-        if not found:
-            rejected.append((_file_name(path), COLUMNS_MISSING if line.strip() else NO_CONTENT))
-        elif _plain(path) in broken:
-            rejected.append((_file_name(path), OPEN_QUOTE))
-        else:
-            layouts[found[0], tuple(_fields(line, found[0]))].append(path)
-
-    rows = spark.createDataFrame([], _strings([*columns, "source_file"]))
-    for (delimiter, header), paths in layouts.items():
-        scan = _scan(spark, paths, header, delimiter, multi_line)
-        rows = rows.unionByName(scan.select(*columns, F.col("_file").alias("source_file")))
-    return rows, spark.createDataFrame(rejected, REJECTED_SCHEMA)
-
-
-def _field_count(record: Column, delimiter: str) -> Column:
-    unquoted = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
-    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit(""))) + 1
+    listed = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
+    if not listed:
+        return spark.createDataFrame([], _strings([*columns, "source_file"])), spark.createDataFrame([], REJECTED_SCHEMA)
+    files = _Files(spark, folder, pattern, CSV_DELIMITERS)
+    headers = stage(files.headers(), "csv-headers")
+    layouts, heads = [], []
+    for row in headers.where("head IS NOT NULL").select("head").distinct().orderBy("head").collect():
+        found = [d for d in CSV_DELIMITERS if set(columns) <= set(_fields(row["head"], d))]
+        if found:
+            heads.append((row["head"], len(layouts)))
+            layouts.append(_Layout(_fields(row["head"], found[0]), found[0], columns))
+    layout_of = spark.createDataFrame(heads, "head string, layout int")
+    reason = F.when(F.col("head").isNull(), NO_CONTENT).when(F.col("layout").isNull(), COLUMNS_MISSING)
+    if multi_line:
+        open_quotes = files.with_open_quotes().withColumn("_open", F.lit(True))
+        headers, reason = headers.join(open_quotes, "file", "left"), reason.when(F.col("_open"), OPEN_QUOTE)
+    # The heads are those that the driver has just seen.
+    judged = headers.join(F.broadcast(layout_of), "head", "left").select(
+        "file", "layout", _source_file(F.col("path")).alias("_source"), reason.alias("reason")
+    )
+    judged = stage(judged, "csv-files")
+    # Spark's scans leave out files without a byte.
+    empty = spark.createDataFrame([(_file_name(_plain(uri)), _plain(uri)) for uri in listed], "file string, path string")
+    present = headers.select(F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/").alias("path"))
+    empty = empty.join(present, "path", "left_anti").select("file", F.lit(NO_CONTENT).alias("reason"))
+    rejected = judged.where("reason IS NOT NULL").select(F.col("_source").alias("file"), "reason").union(empty)
+    if not layouts:
+        return spark.createDataFrame([], _strings([*columns, "source_file"])), rejected
+    good = judged.where("reason IS NULL").select("file", "layout", "_source")
+    return files.rows(good, layouts, columns, keep_long=True).withColumnRenamed("_source", "source_file"), rejected
 
 
 def read_entities(
@@ -171,30 +186,25 @@ def read_entities(
     """One CSV data set with a header in each file, all columns as strings.
 
     Files may order their columns differently: columns meet by name, and one that a file lacks is null in its rows.
-    Rows with more fields than their header are dropped; shorter ones are padded with nulls. Quotes that are never
-    closed are treated as in ``read_corpus``; with ``multi_line`` such a file is an error.
+    Rows with more fields than their header are dropped; shorter ones are padded with nulls. Quotes and line breaks inside of them are
+    treated as in ``read_corpus``; with ``multi_line`` a file whose quotes don't pair up is an error.
     """
-    headers = _header_lines(spark, path)
-    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file, line in sorted(headers.items()):
-        if line.strip():
-            layouts[tuple(_unique(_fields(line, delimiter)))].append(file)
-    if not layouts:
+    files = _Files(spark, path, "*", [delimiter])
+    headers = stage(files.headers(), "csv-headers")
+    found = headers.where("head IS NOT NULL").groupBy("head").agg(F.min("path").alias("path")).orderBy("path").collect()
+    if not found:
         raise ValueError(f"no content: {path}")
-    if multi_line and (broken := [row.path for row in _open_quote_files(spark, path, "*").collect()]):
-        raise ValueError(f"{OPEN_QUOTE}: {', '.join(map(_file_name, broken))}")
-    result = None
-    for header, files in layouts.items():
-        scan = _scan(spark, files, header, delimiter, multi_line)
-        # The raw record is there only for rows whose number of fields is not that of the header.
-        fits = F.col("_broken") | (_field_count(F.col("_record"), delimiter) <= len(header))
-        # The length is never negative; it keeps a data column in the scan, which Spark requires.
-        rows = scan.where(F.coalesce(fits, F.length(header[0]) >= 0, F.lit(True))).select(*header)
-        result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
-    return result
+    if multi_line and (broken := headers.join(files.with_open_quotes(), "file").select(_source_file(F.col("path")).alias("name")).limit(20).collect()):
+        raise ValueError(f"{OPEN_QUOTE}: {', '.join(sorted(row['name'] for row in broken))}")
+    layouts = [_Layout(_fields(row["head"], delimiter), delimiter) for row in found]
+    layout_of = spark.createDataFrame([(row["head"], number) for number, row in enumerate(found)], "head string, layout int")
+    chosen = headers.join(F.broadcast(layout_of), "head").select("file", "layout", _source_file(F.col("path")).alias("_source"))
+    columns = list(dict.fromkeys(name for layout in layouts for name in layout.names))
+    return files.rows(stage(chosen, "csv-files"), layouts, columns, keep_long=False).drop("_source")
 
 
 def write_result(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a folder of UTF-8 CSV files with header, every field quoted."""
     writer = df.write.mode(mode).option("header", True).option("quoteAll", True)
-    writer.option("escape", '"').csv(path)
+    # Blanks around a value belong to it.
+    writer.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)

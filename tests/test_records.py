@@ -1,0 +1,150 @@
+"""Records over line and split borders, against a plain reader of whole files."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from namewright.sources import csv
+from namewright.sources.records import read_lines, read_records, read_splits
+
+DELIMITERS = ",;\t|"
+
+
+def lines_of(text):
+    return re.findall(r"[^\r\n]*(?:\r\n|\n|\r)|[^\r\n]+$", text)
+
+
+def walk(line, inside):
+    """State after a line that starts outside or inside of quotes, or None where a quote ends nothing; and whether one field was closed."""
+    body, closed, at = line.rstrip("\r\n"), False, 0
+    while at < len(body):
+        if body[at] != '"':
+            at += 1
+            continue
+        if body[at : at + 2] == '""':
+            at += 2
+            continue
+        opens = at == 0 or body[at - 1] in DELIMITERS
+        closes = at + 1 == len(body) or body[at + 1] in DELIMITERS
+        if inside:
+            if not closes:
+                return None, closed
+            inside, closed = False, True
+        elif opens:
+            inside = True
+        at += 1
+    return inside, closed
+
+
+def plain_records(text):
+    """(record, literal) of all records but the first."""
+    out, open_lines = [], []
+
+    def single(line):
+        out.append((line, walk(line, False)[0] is not False and line.count('"') % 2 == 1))
+
+    for line in lines_of(text):
+        if open_lines:
+            state, closed = walk(line, True)
+            if state is False:
+                out.append(("".join([*open_lines, line]), False))
+                open_lines = []
+                continue
+            if state is True:
+                open_lines.append(line)
+                continue
+            for waiting in open_lines:
+                single(waiting)
+            open_lines = []
+        if walk(line, False)[0] is True:
+            open_lines = [line]
+        else:
+            single(line)
+    for waiting in open_lines:
+        single(waiting)
+    return [(re.sub(r"(\r\n|\n|\r)\Z", "", r), literal) for r, literal in out if r.strip()][1:]
+
+
+def pieces(draw):
+    field = ["a", "", "7", '""', '"b"', '"c,d"', '"e\nf"', '"g""h\r\n,i"', '"j\n\n""\nk"', '"', 'l"', '"m', 'n"o', '",', '"\n"', " "]
+    return draw.choice(field)
+
+
+def random_file(seed):
+    draw = random.Random(seed)
+    rows = []
+    for i in range(draw.randint(0, 60)):
+        wild = draw.random() < 0.3
+        fields = [pieces(draw) if wild or draw.random() < 0.3 else "x" for _ in range(3)]
+        rows.append(draw.choice([",", ",", ";"]).join(fields) + draw.choice(["\n", "\n", "\r\n", "\r"]))
+    return "id,name,cluster\n" + "".join(rows) + draw.choice(["", "last,line,x"])
+
+
+@pytest.fixture
+def small_splits(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "64b", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("most_broadcast", [1_000_000, 0])
+def test_records_against_plain_reader(spark, tmp_path, small_splits, most_broadcast):
+    expected = []
+    for seed in range(40):
+        text = random_file(seed + 1000 * most_broadcast)
+        (tmp_path / f"f{seed:02}.csv").write_bytes(text.encode())
+        expected += plain_records(text)
+    lines = read_lines(spark, str(tmp_path), "*.csv", DELIMITERS)
+    splits = read_splits(lines)
+    assert splits.count() > 100 and splits.where("starts").count() > 10
+    found = [(r["record"], r["literal"]) for r in read_records(lines, splits, most_broadcast).collect()]
+    assert sorted(found) == sorted(expected)
+
+
+def test_a_record_over_many_splits(spark, tmp_path, small_splits):
+    long = "\n".join(f"line {i} of ""it""" for i in range(200))
+    (tmp_path / "a.csv").write_text(f'id,name,cluster\n1,"{long}",c\n2,x,"{long}"\n3,y,z\n')
+    corpus, rejected = csv.read_corpus(spark, str(tmp_path))
+    assert sorted(tuple(r)[:3] for r in corpus.collect()) == [("1", long, "c"), ("2", "x", long), ("3", "y", "z")]
+    assert rejected.count() == 0
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    with open(tmp_path / "a.csv", "w") as out:
+        out.write('id,name,cluster\n')
+        for i in range(100_000):
+            out.write(f'{i},"first line {i}\nsecond, line",c{i % 7}\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300kb")
+    try:
+        lines = read_lines(spark, str(tmp_path), "*.csv", DELIMITERS)
+        assert lines.rdd.getNumPartitions() > 10
+        rows = csv.read_entities(spark, str(tmp_path))
+        assert rows.count() == 100_000
+        assert rows.where("name = concat('first line ', id, chr(10), 'second, line') AND cluster = concat('c', id % 7)").count() == 100_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_line_breaks_are_read_without_being_asked_for(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name,cluster\n1,"a\nb",c\n2,"a\r\nb, ""c""\n\nd","e"\n3,5" pipe,"x,y"\n4,"open,z\n5,q,r\n', newline="")
+    (tmp_path / "b.csv").write_text('"id";"na\nme";"name";"cluster"\n6;x;"y\n;";z\n')
+    corpus, rejected = csv.read_corpus(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in corpus.collect()) == [
+        ("1", "a\nb", "c", "a.csv"), ("2", 'a\r\nb, "c"\n\nd', "e", "a.csv"), ("3", '5" pipe', "x,y", "a.csv"), ("4", '"open', "z", "a.csv"),
+        ("5", "q", "r", "a.csv"), ("6", "y\n;", "z", "b.csv")]
+    assert rejected.count() == 0
+
+
+def test_thousands_of_files(spark, tmp_path):
+    for i in range(1500):
+        (tmp_path / f"{i}.csv").write_text(f'id,name,cluster\n{i},"n\n{i}",c\n' if i % 3 else "no,header\n1,2\n")
+    corpus, rejected = csv.read_corpus(spark, str(tmp_path))
+    assert corpus.count() == 1000 and rejected.groupBy("reason").count().collect()[0][1] == 500

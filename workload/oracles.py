@@ -411,6 +411,12 @@ WITH {ENTITY}
 SELECT id, CASE WHEN id::BIGINT % 5 = 0 THEN '"' || name ELSE name END AS name,
        CASE WHEN id::BIGINT % 7 = 2 THEN NULL ELSE cluster END AS cluster FROM entity""",
     "corpus_rejects": "SELECT 'columns missing' AS reason, (count(*) > 0)::BIGINT AS n_files FROM part",
+    "corpus_with_line_breaks": "SELECT doc_id, nullif(text, '') AS name, nullif(source, '') AS cluster FROM documents",
+    "entities_with_quotes_at_line_ends": f"""
+        WITH {ENTITY}
+        SELECT id, CASE id::BIGINT % 4 WHEN 0 THEN replace(name, ' ', chr(10)) WHEN 1 THEN '"' || name WHEN 2 THEN name || ' 5" wide' ELSE name END AS name, cluster
+        FROM entity""",
+    "corpus_with_a_long_header": f"WITH {ENTITY} SELECT id, name, cluster FROM entity",
     "entities_of_several_layouts": f"""
 WITH {ENTITY}
 SELECT id, name, CASE WHEN name < 'h' OR name >= 'q' THEN cluster END AS cluster FROM entity""",

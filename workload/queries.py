@@ -384,8 +384,10 @@ def corpus_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of a file after a header line of its own."""
-    yield pa.RecordBatch.from_arrays([pa.array(["id,name,cluster"])], names=["value"])
-    yield from batches
+    for place, batch in enumerate(batches):
+        if not place:
+            yield pa.RecordBatch.from_arrays([pa.array(["id,name,cluster"])], schema=batch.schema)
+        yield batch
 
 
 def _damaged_corpus(spark: SparkSession, sf_dir: str) -> str:
@@ -427,6 +429,40 @@ def entities_of_several_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_entities(spark, folder).select("id", "name", "cluster")
 
 
+def corpus_with_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as quoted CSV, with their line breaks, quotes and blanks, read back as a corpus from files that are split."""
+    folder = _scratch(spark, "documents")
+    documents = table(spark, sf_dir, "documents")
+    csv.write_result(documents.select(F.col("doc_id").alias("id"), F.col("text").alias("name"), F.col("source").alias("cluster")), folder)
+    return csv.read_corpus(spark, folder)[0].select(F.col("id").cast("bigint").alias("doc_id"), "name", "cluster")
+
+
+def entities_with_quotes_at_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the parts: some names hold a line break in quotes, some open a quote that is never closed, some measure inches."""
+    folder = _scratch(spark, "quotes")
+    key = F.col("id").cast("bigint")
+    name = (
+        F.when(key % 4 == 0, F.concat(F.lit('"'), F.replace("name", F.lit(" "), F.lit("\n")), F.lit('"')))
+        .when(key % 4 == 1, F.concat(F.lit('"'), "name")).when(key % 4 == 2, F.concat("name", F.lit(' 5" wide'))).otherwise(F.col("name"))
+    )
+    lines = given.entities(spark, sf_dir).select(F.concat_ws(",", "id", name, "cluster").alias("value"), key.alias("key"))
+    ordered = lines.repartitionByRange("key").sortWithinPartitions("key").select("value")
+    ordered.mapInArrow(_headed, "value string").write.option("compression", "none").text(folder)
+    return csv.read_entities(spark, folder)
+
+
+def corpus_with_a_long_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose header names a column for every part, far beyond the buffers of a reader; its rows are the parts."""
+    folder = _scratch(spark, "wide")
+    rows = given.entities(spark, sf_dir)
+    more = F.array_join(F.array_sort(F.collect_list(F.concat(F.lpad("id", 40, "_")))), ";")
+    header = rows.agg(F.concat(F.lit("id;name;cluster;"), more).alias("value"))
+    body = rows.select(F.concat_ws(";", "id", F.concat(F.lit('"'), "name", F.lit('\n"')), "cluster").alias("value"))
+    header.withColumn("place", F.lit(0)).union(body.withColumn("place", F.lit(1))).coalesce(1).sortWithinPartitions("place").select("value").write.text(folder)
+    corpus, _ = csv.read_corpus(spark, folder, pattern="*.txt")
+    return corpus.select("id", F.rtrim(F.translate("name", "\n", " ")).alias("name"), "cluster")
+
+
 def dimension_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "taxonomy")
     csv.write_result(given.taxonomy(spark, sf_dir), path)
@@ -446,5 +482,6 @@ QUERIES = {
         mean_vector, word_mean_vector, match_by_vector, nearest_words, word2vec_vocabulary,
         word2vec_neighbours, csv_round_trip, corpus_from_csv, dimension_from_csv,
         overlap_large_taxonomy, classify_from_files, cosine_best_in_blocks, corpus_with_bad_quotes, corpus_rejects, entities_of_several_layouts,
+        corpus_with_line_breaks, entities_with_quotes_at_line_ends, corpus_with_a_long_header,
     )
 }
