@@ -67,7 +67,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("findings", lambda f: f["kind"] != "learned")
     return secret_scan(_table(spark, sf_dir, "documents")).select(
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(spans(base), 256).alias("base_sha256"),
-        spans(F.col("findings")).alias("spans"),
+        spans(F.col("findings")).alias("spans"), count("learned"), "n_scored",
     )
 
 
