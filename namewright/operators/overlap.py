@@ -81,6 +81,9 @@ class OverlapIndex:
         self.kinds = stage(word_kinds(self.entries, max_postings), "word-kinds")
         #: Without frequent words, as in every small taxonomy, words alone are looked up and counted.
         self.has_frequent = not self.kinds.where("frequent").isEmpty()
+        if not self.has_frequent:
+            self.index = self.entries.select(F.explode("words").alias("value"), "number")
+            return
         signed = stage(signed_entries(self.entries, self.kinds), "signed-entries")
         rare = signed.select(F.lit("rare").alias("kind"), F.explode("others").alias("value"), "signature", "number")
         lowest = signed.where(F.size("signature") > 0).groupBy("signature").agg(F.min("number").alias("number"))
