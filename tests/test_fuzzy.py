@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from namewright.config import LETTERS, STOPWORDS
 from namewright.operators import fuzzy
-from namewright.operators.edit_match import edit_matches
+from namewright.operators.edit_match import candidate_pairs, edit_matches
 from tests import brute
 
 LETTER_POOL = "abcdeñ"
@@ -31,6 +31,23 @@ def test_segments_find_every_pair(spark, threshold):
     assert pairs == expected
 
 
+@pytest.mark.parametrize("threshold", [0.2, 0.3, 0.5, 0.6, 0.8])
+def test_pairs_are_verified_once(spark, threshold):
+    rng = random.Random(int(threshold * 100) + 1)
+    tokens = [w for w in words(rng, 200, 15, "abcdefghijklmnop") if len(w) >= 2] + ["aaaaaaaa", "abababab", "aabbaabb"]
+    targets = words(rng, 80, 15, "abcdefghijklmnop") + ["aaaaaaa", "ababab", "a"]
+    token_table = spark.createDataFrame([(t,) for t in dict.fromkeys(tokens)], "token string")
+    target_table = spark.createDataFrame([(t, t) for t in dict.fromkeys(targets)], "target string, rank string")
+    pairs = [(r.token, r.target) for r in candidate_pairs(token_table, target_table, threshold).collect()]
+    assert len(pairs) == len(set(pairs))
+    found = [(r.token, r.target) for r in edit_matches(token_table, target_table, threshold).collect()]
+    near = {(a, b) for a in tokens for b in targets if brute.edit_similarity(a, b) >= threshold}
+    assert len(found) == len(set(found)) and set(found) == near <= set(pairs)
+    # Pairs whose lengths alone allow the threshold are far more.
+    banded = sum(min(len(a), len(b)) >= threshold * max(len(a), len(b)) for a in set(tokens) for b in set(targets))
+    assert len(pairs) < (0.9 if threshold < 0.5 else 0.7) * banded
+
+
 @pytest.mark.parametrize("threshold", [0, 1.1])
 def test_threshold_is_checked(spark, threshold):
     df = spark.createDataFrame([("a", "a", 1)], "token string, target string, rank int")
