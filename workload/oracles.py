@@ -305,6 +305,9 @@ LEFT JOIN keyword ON split_part(matched_words, '|', 1) = clean_word""",
     "corpus_shape": """
 SELECT count(*) AS n_rows, CAST((SELECT count(*) FROM (DESCRIBE documents)) AS INT) AS n_columns
 FROM documents""",
+    "fuzzy_dictionary_low_threshold": f"""
+WITH {CLEAN_ENTITY}, {TAXONOMY_TARGETS}, {dictionary('1', 'clean_entity', 'target', 0.3)}
+SELECT token, target, source, round(similarity, 5) AS similarity FROM dict1""",
     "fuzzy_dictionary": f"""
 WITH {CLEAN_ENTITY}, {TAXONOMY_TARGETS}, {dictionary('1', 'clean_entity', 'target', 0.75)}
 SELECT token, target, source, round(similarity, 5) AS similarity FROM dict1""",
@@ -388,6 +391,17 @@ best AS (
 SELECT speciality.*, degree_name AS best_match_degree_name,
        round(similarity, 5) AS best_match_similarity
 FROM speciality LEFT JOIN best ON matched_speciality = t""",
+    "nearest_words_of_all": f"""
+WITH {CLEAN_ENTITY}, {TAXONOMY}, {VECTORS}, pairs AS (
+  SELECT a.word, b.word AS neighbour, list_cosine_similarity(a.vector, b.vector) AS s FROM vectors a JOIN vectors b ON a.word <> b.word)
+SELECT word, neighbour, round(s, 5) AS similarity, place::INT AS place
+FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY round(s, 9) DESC, neighbour) AS place FROM pairs) WHERE place <= 3""",
+    "nearest_vectors": """
+WITH pairs AS (
+  SELECT a.vec_id, b.vec_id AS candidate, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
+SELECT vec_id, candidate, round(s, 5) AS similarity, place::INT AS place
+FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9) DESC, candidate) AS place FROM pairs) WHERE place <= 4""",
     "nearest_words": f"""
 WITH {CLEAN_ENTITY}, {TAXONOMY}, {VECTORS}
 SELECT a.word, round(list_cosine_similarity(a.vector, b.vector), 5) AS similarity

@@ -14,6 +14,7 @@ from namewright.functions import similarity, text
 from namewright.operators import dimensions, fuzzy, overlap, vector_match
 from namewright.operators.cleaning import clean_column, taxonomy_words
 from namewright.operators.cosine_match import cosine_matches
+from namewright.operators.cosine_search import PivotIndex, most_similar
 from namewright.plans.classify import classify, classify_files
 from namewright.plans.training import train_word_vectors
 from namewright.sources import csv, staging, tables
@@ -142,6 +143,14 @@ def fuzzy_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("similarity", F.round("similarity", ROUND))
 
 
+def fuzzy_dictionary_low_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A threshold at which many words are too short to be cut into segments."""
+    tokens = fuzzy.text_tokens(given.cleaned_entities(spark, sf_dir), "name")
+    targets = fuzzy.as_targets(spark, _taxonomy_targets(spark, sf_dir))
+    found = fuzzy.correction_dictionary(tokens, targets, 0.3)
+    return found.withColumn("similarity", F.round("similarity", ROUND))
+
+
 def fuzzy_dictionary_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents against the words of the benchmark items."""
     tokens = fuzzy.text_tokens(clean_strip_first(spark, sf_dir), "text")
@@ -330,6 +339,21 @@ def nearest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nearest_words_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three words closest to each word of the names."""
+    vectors = staging.stage(given.word_vectors(spark, sf_dir), "vectors")
+    found = vector_match.nearest_words_of(vectors, vectors, 3)
+    return found.withColumn("similarity", F.round("similarity", ROUND))
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four embeddings closest to each one, itself left out, by pivots and bands."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    index = PivotIndex(embeddings, "vec_id", "embedding")
+    found, _ = most_similar(index, embeddings, "vec_id", 4, "embedding", leave_out_itself=True)
+    return found.withColumn("similarity", F.round("similarity", ROUND))
+
+
 def _trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(F.col("text").alias("name"))
     model = train_word_vectors(documents, TRAINING_PARTS)
@@ -483,5 +507,6 @@ QUERIES = {
         word2vec_neighbours, csv_round_trip, corpus_from_csv, dimension_from_csv,
         overlap_large_taxonomy, classify_from_files, cosine_best_in_blocks, corpus_with_bad_quotes, corpus_rejects, entities_of_several_layouts,
         corpus_with_line_breaks, entities_with_quotes_at_line_ends, corpus_with_a_long_header,
+        fuzzy_dictionary_low_threshold, nearest_words_of_all, nearest_vectors,
     )
 }
