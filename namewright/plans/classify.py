@@ -13,6 +13,7 @@ from namewright.operators.cleaning import clean_column, taxonomy_words
 from namewright.operators.overlap import OverlapIndex, best_per_id, gate
 from namewright.sources import csv, tables
 from namewright.sources.staging import stage
+from namewright.sources.workbook import read_workbook
 
 RESULT_COLUMNS = (
     "id", "name", "cluster", "degree_name", "degree_level", "matched_type", "education_tokens",
@@ -101,6 +102,12 @@ def classify(
     return shaped.select(*RESULT_COLUMNS)
 
 
+def _dimension(spark: SparkSession, path: str, sheet: int, schema: str, order_column: str | None = None) -> DataFrame:
+    if path.lower().endswith(".xlsx"):
+        return read_workbook(spark, path, sheet, schema, order_column)
+    return tables.read_dimension(spark, path, schema, order_column=order_column)
+
+
 def classify_files(
     spark: SparkSession,
     entities: str,
@@ -113,9 +120,10 @@ def classify_files(
 ) -> None:
     """``classify`` from CSV to CSV: paths of the entities, the keywords (in load order) and the taxonomy, and of the result.
 
-    Entities whose quoted fields hold line breaks need ``multi_line``, as in ``read_entities``.
+    Keywords and taxonomy may be the first and second sheet of a workbook (.xlsx), of the same one or of two. With ``multi_line`` entities whose
+    quotes don't pair up are an error, as in ``read_entities``.
     """
     rows = csv.read_entities(spark, entities, multi_line=multi_line)
-    ordered = tables.read_dimension(spark, keywords, tables.KEYWORD_SCHEMA, order_column="load_order")
-    degrees = tables.read_dimension(spark, taxonomy, tables.TAXONOMY_SCHEMA)
+    ordered = _dimension(spark, keywords, 0, tables.KEYWORD_SCHEMA, "load_order")
+    degrees = _dimension(spark, taxonomy, 1, tables.TAXONOMY_SCHEMA)
     csv.write_result(classify(rows, ordered, degrees, "load_order", vectors, thresholds), result)

@@ -391,6 +391,9 @@ best AS (
 SELECT speciality.*, degree_name AS best_match_degree_name,
        round(similarity, 5) AS best_match_similarity
 FROM speciality LEFT JOIN best ON matched_speciality = t""",
+    "vectors_from_text": f"""
+WITH {CLEAN_ENTITY}, {TAXONOMY}, {VECTORS}
+SELECT word, len(vector)::INT AS n_dimensions, round(list_sum(vector), 5) AS total FROM vectors""",
     "nearest_words_of_all": f"""
 WITH {CLEAN_ENTITY}, {TAXONOMY}, {VECTORS}, pairs AS (
   SELECT a.word, b.word AS neighbour, list_cosine_similarity(a.vector, b.vector) AS s FROM vectors a JOIN vectors b ON a.word <> b.word)

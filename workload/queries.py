@@ -339,6 +339,14 @@ def nearest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vectors_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word vectors written as lines of text and read back."""
+    path = _scratch(spark, "text-vectors")
+    tables.write_vectors_text(given.word_vectors(spark, sf_dir), path)
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
+    return tables.read_vectors_text(spark, path).select("word", F.size("vector").alias("n_dimensions"), F.round(total, ROUND).alias("total"))
+
+
 def nearest_words_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three words closest to each word of the names."""
     vectors = staging.stage(given.word_vectors(spark, sf_dir), "vectors")
@@ -508,5 +516,6 @@ QUERIES = {
         overlap_large_taxonomy, classify_from_files, cosine_best_in_blocks, corpus_with_bad_quotes, corpus_rejects, entities_of_several_layouts,
         corpus_with_line_breaks, entities_with_quotes_at_line_ends, corpus_with_a_long_header,
         fuzzy_dictionary_low_threshold, nearest_words_of_all, nearest_vectors,
+        vectors_from_text,
     )
 }
