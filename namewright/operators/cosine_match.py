@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
+from namewright.operators.cosine_search import PivotIndex, most_similar
 from namewright.sources.staging import stage
 
 BROADCAST_ROWS = 20_000
@@ -76,6 +77,17 @@ def _best(
     return pa.table(columns | {"similarity": similarity[kept]})
 
 
+def _indexed(queries: DataFrame, candidates: DataFrame, threshold: float, candidate_block: int, query_block: int) -> DataFrame:
+    """``cosine_matches`` of a threshold above 0 through an index. Numbers in the order of ranks stand for the candidates."""
+    order = [n for n in candidates.columns if n not in ("rank", "vector")]
+    numbered = stage(candidates.orderBy("rank", *order).withColumn("_candidate", F.monotonically_increasing_id()), "numbered-candidates")
+    asked = stage(queries.withColumn("_query", F.monotonically_increasing_id()), "queries")
+    index = PivotIndex(numbered, "_candidate", block=candidate_block)
+    found, _ = most_similar(index, asked, "_query", 1, query_block=query_block, threshold=threshold, decimals=DECIMALS)
+    payload = numbered.drop("vector").withColumnRenamed("_candidate", "candidate")
+    return found.join(asked.drop("vector"), "_query").join(payload, "candidate")
+
+
 def cosine_matches(
     queries: DataFrame,
     candidates: DataFrame,
@@ -93,9 +105,10 @@ def cosine_matches(
 
     Spark has no cosine built in, and a matrix product in numpy is far cheaper than one expression
     per pair. Candidates are staged and counted. Up to ``broadcast_rows`` of them and 64 MB of vectors go to
-    the executors as one matrix and queries stream past it without a shuffle. Beyond that, both sides are cut into
-    blocks of bounded size, every pair of blocks meets in one co-group and yields one row per
-    query, and the best of these is aggregated. Both ways answer alike: all vectors must have one
+    the executors as one matrix and queries stream past it without a shuffle. Beyond that, an index of pivots and bands
+    (``cosine_search``) leaves out what can't reach the threshold or the best so far. With a threshold of 0 or less, where
+    every pair counts, both sides are cut into blocks of bounded size, every pair of blocks meets in one co-group and yields one row per
+    query, and the best of these is aggregated. All ways answer alike: all vectors must have one
     width, otherwise it is an error. Null, empty and all-zero vectors have similarity 0 to all.
     """
     spark = queries.sparkSession
@@ -114,6 +127,9 @@ def cosine_matches(
 
         return queries.mapInArrow(stream, schema)
 
+    if threshold > 0:
+        return _indexed(queries, candidates, threshold, candidate_block, query_block).select(*schema.names)
+
     queries = stage(queries, "queries")
     query_blocks = max(1, math.ceil(queries.count() / query_block))
     candidate_blocks = max(1, math.ceil(n_candidates / candidate_block))

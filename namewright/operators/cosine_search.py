@@ -101,7 +101,7 @@ class PivotIndex:
         self.salts = salts
 
 
-def _wanted(index: PivotIndex, queries: DataFrame, key: str, k: int, floor: bool) -> DataFrame:
+def _wanted(index: PivotIndex, queries: DataFrame, key: str, k: int, floor: bool, threshold: float) -> DataFrame:
     """(query, vector, pivot, band): the most promising bands that hold ``k`` vectors, or, with ``floor``, the others that may hold better ones."""
     reach = index.reach
 
@@ -113,6 +113,7 @@ def _wanted(index: PivotIndex, queries: DataFrame, key: str, k: int, floor: bool
             first = np.zeros(bounds.shape, dtype=bool)
             np.put_along_axis(first, order, before < k, axis=1)
             chosen = ~first & (bounds >= batch.column("floor").to_numpy()[:, None]) if floor else first
+            chosen &= bounds >= threshold
             row, at = np.nonzero(chosen)
             columns = {key: batch.column(key).take(pa.array(row)), "vector": batch.column("vector").take(pa.array(row))}
             yield pa.RecordBatch.from_pydict(columns | {"pivot": pa.array(reach.pivot[at]), "band": pa.array(reach.band[at])})
@@ -121,7 +122,7 @@ def _wanted(index: PivotIndex, queries: DataFrame, key: str, k: int, floor: bool
     return queries.mapInArrow(run, f"`{key}` {kind}, vector array<double>, pivot int, band int")
 
 
-def _compared(index: PivotIndex, wanted: DataFrame, key: str, k: int, chunks: int, leave_out_itself: bool) -> DataFrame:
+def _compared(index: PivotIndex, wanted: DataFrame, key: str, k: int, chunks: int, leave_out_itself: bool, decimals: int) -> DataFrame:
     """(query, candidate, similarity): the ``k`` best of each block for each of the queries that want it."""
     kinds = {name: frame.schema[name].dataType.simpleString() for name, frame in ((key, wanted), ("_candidate", index.members))}
     chunk = F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int")
@@ -138,7 +139,7 @@ def _compared(index: PivotIndex, wanted: DataFrame, key: str, k: int, chunks: in
         found = []
         for at in range(0, len(left), 512):
             part = left.slice(at, 512)
-            product = np.round(_unit(part["vector"]) @ directions.T, DECIMALS)
+            product = np.round(_unit(part["vector"]) @ directions.T, decimals)
             if leave_out_itself:
                 # Candidates of one key lie together, in order.
                 own, keys = part[key].to_numpy(), names.to_numpy(zero_copy_only=False)
@@ -161,11 +162,12 @@ def _compared(index: PivotIndex, wanted: DataFrame, key: str, k: int, chunks: in
 
 
 def most_similar(
-    index: PivotIndex, queries: DataFrame, key: str, k: int, vector: str = "vector", query_block: int = QUERIES, leave_out_itself: bool = False
+    index: PivotIndex, queries: DataFrame, key: str, k: int, vector: str = "vector", query_block: int = QUERIES, leave_out_itself: bool = False,
+    threshold: float = -1.0, decimals: int = DECIMALS,
 ) -> tuple[DataFrame, float]:
     """(query, candidate, similarity, place) of the ``k`` most similar candidates, and the share of (query, band) pairs that were compared.
 
-    Similarities count to 9 decimals; of equal ones the lower candidate comes first. Queries need unique keys; those without a direction have no
+    Similarities count to ``decimals``, those of ``threshold`` and more; of equal ones the lower candidate comes first. Queries need unique keys; those without a direction have no
     rows. The result is that of comparing all with all. ``leave_out_itself`` skips the candidate of the query's own key.
     """
     queries = stage(usable(queries, key, vector), "queries")
@@ -176,13 +178,13 @@ def most_similar(
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("similarity"), "_candidate"))
 
     def best(found: DataFrame) -> DataFrame:
-        return found.withColumn("place", place).where(F.col("place") <= k)
+        return found.where(F.col("similarity") >= threshold).withColumn("place", place).where(F.col("place") <= k)
 
-    first = stage(_wanted(index, queries, key, k_found, False), "first-bands")
-    found = stage(best(_compared(index, first, key, k, chunks, leave_out_itself)), "first-matches")
+    first = stage(_wanted(index, queries, key, k_found, False, threshold), "first-bands")
+    found = stage(best(_compared(index, first, key, k, chunks, leave_out_itself, decimals)), "first-matches")
     enough = found.where(F.col("place") == k).select(key, F.col("similarity").alias("floor"))
     bounded = queries.join(enough, key, "left").fillna(-2.0, ["floor"])
-    more = stage(_wanted(index, bounded, key, k_found, True), "more-bands")
+    more = stage(_wanted(index, bounded, key, k_found, True, threshold), "more-bands")
     share = (first.count() + more.count()) / max(n_queries * n_bands, 1)
-    both = found.drop("place").unionByName(_compared(index, more, key, k, chunks, leave_out_itself))
+    both = found.drop("place").unionByName(_compared(index, more, key, k, chunks, leave_out_itself, decimals))
     return best(both).withColumnRenamed("_candidate", "candidate"), share

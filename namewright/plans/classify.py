@@ -10,7 +10,7 @@ from namewright.functions import text
 from namewright.operators import dimensions, fuzzy
 from namewright.operators.attach import ROWS_PER_SPLIT, attach
 from namewright.operators.cleaning import clean_column, taxonomy_words
-from namewright.operators.overlap import OverlapIndex, best_per_id, gate
+from namewright.operators.overlap import MAX_POSTINGS, MAX_SUBSET, OverlapIndex, best_per_id, gate
 from namewright.sources import csv, tables
 from namewright.sources.staging import stage
 from namewright.sources.workbook import read_workbook
@@ -35,6 +35,8 @@ def classify(
     vectors: DataFrame | None = None,
     thresholds: Thresholds = Thresholds(),
     rows_per_split: int = ROWS_PER_SPLIT,
+    max_postings: int = MAX_POSTINGS,
+    max_subset: int = MAX_SUBSET,
 ) -> DataFrame:
     """Clean, correct and classify ``entities`` (id, name, cluster); one row per id.
 
@@ -42,7 +44,7 @@ def classify(
     The first keyword row per word in ``keyword_order`` counts, and a lower one wins ties of similarity: name the
     column that holds the load order (``read_dimension`` adds one), as rows have no order of their own. All work runs once per distinct
     cleaned name, partitioned by name from the first correction to the taxonomy match, and is
-    joined to the rows at the end.
+    joined to the rows at the end. ``max_postings`` and ``max_subset`` are those of ``OverlapIndex``; the result doesn't depend on them.
     """
     keywords = stage(dimensions.keep_first(keywords, ["clean_word"], [keyword_order]), "keywords")
     cleaned_taxonomy = clean_column(
@@ -82,7 +84,7 @@ def classify(
          "matched_words": "matched_speciality"},
     )
     education = text.overlap_words(F.col("matched_speciality"))
-    index = OverlapIndex(cleaned_taxonomy.select("id", "degree_name"))
+    index = OverlapIndex(cleaned_taxonomy.select("id", "degree_name"), max_postings, max_subset)
     best = index.complete(index.best(specified, specified.columns, education, keep_all=True), education)
     results = best.select(
         F.col("_name"), F.col("name").alias("corrected"), "degree_level", "matched_type",
