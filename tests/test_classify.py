@@ -48,6 +48,15 @@ def test_hot_names_repeated_ids_and_lower_minimum(spark):
     assert plain[None].degree_name == "civil law" and plain["7"].match_score == 2
 
 
+def test_limits_of_the_index_change_nothing(spark):
+    taxonomy = [(i, f"{a} {b}") for i, (a, b) in enumerate((a, b) for a in ("business", "civil", "tax") for b in ("law", "administration", "finance"))]
+    entities = [(i, text, "k") for i, text in enumerate(["tax law", "civil administration law", "busines finance", "law", "nothing"])]
+    plain = run(spark, entities, KEYWORDS, taxonomy)
+    assert plain["0"].degree_name == "tax law"
+    for max_postings, max_subset in ((1, 8), (1, 1), (2, 0)):
+        assert run(spark, entities, KEYWORDS, taxonomy, max_postings=max_postings, max_subset=max_subset) == plain
+
+
 def test_empty_taxonomy_and_keywords_keep_rows(spark):
     got = run(spark, [(1, "Finance", "k")], [], [])
     assert (got["1"].name, got["1"].match_score, got["1"].degree_level) == ("finance", None, None)
