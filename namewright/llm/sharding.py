@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewright.llm.numbering import ROWS_PER_PART, number_within
-from namewright.sources.staging import shared_folder, stage
+from namewright.sources.staging import run_folder, stage
 
 SLOTS = 8192
 #: Bytes of a record besides its text.
@@ -71,7 +71,7 @@ def shard_documents(
     numbered = stage(numbered.withColumn("_place", F.floor(F.col("_place") / F.col("portions"))), "numbered")
     units = numbered.groupBy("slot", "portion").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).collect()
     sizes = {(u["slot"], u["portion"]): (u["rows"], u["bytes"]) for u in units}
-    placed = next_map(spark, map_path or f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}", sizes, shards, slots)
+    placed = next_map(spark, map_path or f"{run_folder(spark)}/slot-map-{uuid.uuid4().hex}", sizes, shards, slots)
     placed = placed.select("slot", "portion", "shard", "first")
     return numbered.join(F.broadcast(placed), ["slot", "portion"]).select(
         F.col("_id").alias(id_column), "size", "text_crc32", F.col("slot").alias("virtual_slot"), "portion", "shard",
