@@ -14,7 +14,7 @@ from namewright.llm.packing import best_fit_pack, tokenise
 from namewright.llm.quality_classifier import select_quality
 from namewright.llm.queries import ratings
 from namewright.llm.secret_scan import redact_secrets
-from namewright.sources.staging import shared_folder
+from namewright.sources.staging import run_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,7 +56,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{run_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for place, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{place}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
