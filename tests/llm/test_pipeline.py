@@ -44,7 +44,7 @@ def test_stages_take_effect(spark, tmp_path):
 
 def test_registered(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "secrets", "mixing", "packing"]
-    assert {"pipeline", *(f"op{n}_" for n in range(1, 11))} <= {k if k == "pipeline" else k.split("_")[0] + "_" for k in driver.queries()}
+    assert {"pipeline", *(f"op{n}_" for n in range(1, 14))} <= {k if k == "pipeline" else k.split("_")[0] + "_" for k in driver.queries()}
     json.dumps(driver.oracle_sql())
 
 
