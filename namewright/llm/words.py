@@ -22,6 +22,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 
+def lower_bytes(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z as a-z."""
+    return _LOWER[data]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

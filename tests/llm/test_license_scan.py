@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -69,3 +70,62 @@ def test_query_on_whole_texts(spark, tmp_path, voting):
 def test_awkward_and_empty(spark):
     assert license_scan(awkward(spark)).count() == awkward(spark).count()
     assert license_scan(empty(spark)).count() == 0
+
+
+def test_whole_texts_are_told_apart(spark):
+    whole = [label for label in TEXTS if label.endswith("-license") or label in ("unlicense", "apache-header", "gpl-header")]
+    got = {r["doc_id"]: r for r in license_scan(documents(spark, [f"{prose(i, 40)}\n{TEXTS[label]}\n{prose(i + 50, 9)}" for i, label in enumerate(whole)])).collect()}
+    for i, label in enumerate(whole):
+        best = max(got[i]["spans"], key=lambda s: (s["score"], s["last_word"] - s["first_word"]))
+        assert best["label"] == label
+        others = {s["label"] for s in got[i]["spans"] if s["label"] in whole} - {label}
+        # The disclaimer that both share is most of the shorter one.
+        assert others == ({"bsd-2-license"} if label == "bsd-3-license" else set())
+        (span,) = [s for s in got[i]["spans"] if s["label"] == label]
+        assert (span["first_word"], span["last_word"], span["score"]) == (40, 39 + len(WORD.findall(TEXTS[label].lower())), 1.0)
+
+
+def plain_spans(text, voting):
+    """All pairs of places with the same words, by template and diagonal."""
+    words = WORD.findall((text or "").lower())
+    spans, k = [], voting.k
+    for label, template in TEMPLATES:
+        wanted = WORD.findall(template.lower())
+        n = len(wanted) - k + 1
+        diagonals = {}
+        for i in range(len(words) - k + 1):
+            for j in range(n):
+                if words[i : i + k] == wanted[j : j + k]:
+                    diagonals.setdefault(i - j, []).append((i, j))
+        bands, before = [], None
+        for diagonal, hits in sorted(diagonals.items()):
+            first, last = hits[0][0], hits[-1][0]
+            if before is None or diagonal - before[0] > voting.band or first - before[1] > n:
+                bands.append([])
+            bands[-1] += hits
+            before = (diagonal, last)
+        for hits in bands:
+            score, first, last = len({j for _, j in hits}) / n, min(i for i, _ in hits), max(i for i, _ in hits) + k - 1
+            if score >= voting.coverage and last - first + 1 <= voting.stretch * (n + k - 1):
+                spans.append((first, last, label, round(score, 9)))
+    return sorted(spans)
+
+
+def test_spans_are_those_of_all_pairs_of_places(spark):
+    draw = random.Random(8)
+    texts = [None, "", "x"]
+    for i in range(60):
+        pieces = [prose(200 + i, draw.randint(0, 15))]
+        for _ in range(draw.randint(1, 4)):
+            words = draw.choice(TEMPLATES)[1].split(" ")
+            a, b = sorted((draw.randint(0, len(words) // 5), draw.randint(len(words) * 3 // 4, len(words))))
+            words = [w for w in words[a:b] if draw.random() > 0.02]
+            if draw.random() < 0.4:
+                words.insert(draw.randrange(len(words) + 1), "really so")
+            pieces.append(" ".join(words))
+        texts.append("\n".join(pieces))
+    for voting in (Voting(), Voting(k=3, band=1, coverage=0.5)):
+        got = {r["doc_id"]: r["spans"] for r in license_scan(documents(spark, texts), voting=voting).collect()}
+        found = {i: [(s["first_word"], s["last_word"], s["label"], round(s["score"], 9)) for s in got[i]] for i in got}
+        assert found == {i: plain_spans(t, voting) for i, t in enumerate(texts)}
+        assert sum(map(len, found.values())) > 60
