@@ -440,3 +440,4 @@ SELECT id, name, CASE WHEN name < 'h' OR name >= 'q' THEN cluster END AS cluster
 }
 ORACLES["classify_from_files"] = ORACLES["classify_names"]
 ORACLES["cosine_best_in_blocks"] = ORACLES["cosine_best"]
+ORACLES["match_by_vector_hot_words"] = ORACLES["match_by_vector"]

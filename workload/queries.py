@@ -331,6 +331,14 @@ def match_by_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.withColumn("best_match_similarity", F.round("best_match_similarity", ROUND))
 
 
+def match_by_vector_hot_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a vocabulary beyond what may be broadcast: its frequent words are, the others are shuffled."""
+    vectors = staging.stage(given.word_vectors(spark, sf_dir), "vectors")
+    named = given.specialities(spark, sf_dir)
+    best = vector_match.match_by_vector(named, given.taxonomy(spark, sf_dir), vectors, threshold=0.6, broadcast_bytes=4096)
+    return best.withColumn("best_match_similarity", F.round("best_match_similarity", ROUND))
+
+
 def nearest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten words closest to ``ring`` among the words of the names."""
     vectors = staging.stage(given.word_vectors(spark, sf_dir), "vectors")
@@ -516,6 +524,6 @@ QUERIES = {
         overlap_large_taxonomy, classify_from_files, cosine_best_in_blocks, corpus_with_bad_quotes, corpus_rejects, entities_of_several_layouts,
         corpus_with_line_breaks, entities_with_quotes_at_line_ends, corpus_with_a_long_header,
         fuzzy_dictionary_low_threshold, nearest_words_of_all, nearest_vectors,
-        vectors_from_text,
+        vectors_from_text, match_by_vector_hot_words,
     )
 }
