@@ -1,14 +1,19 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from namewright.llm import near_dedup as module
 from namewright.llm.near_dedup import FREQUENCY_BUCKETS, Sampler, Settings, near_dedup, near_unique, similar_pairs
+from namewright.llm.words import words
 from tests.llm.tables import awkward, changed, documents, empty, prose
 
+ENTRY_DIR = "/root/testdata/sf0.001"
 EVEN = np.ones(FREQUENCY_BUCKETS, dtype=np.float32)
 
 
@@ -101,3 +106,47 @@ def test_repeated_rows_meet_the_tiles_once(spark):
     members = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (9, 0)], "_row long, _high long")
     got = module._texts_of(rows.repartition(7), signed, members).collect()
     assert sorted((r["_row"], r["_text"]) for r in got) == [(1, base), (2, changed(base, 60)), (9, base)]
+
+
+def every_link(texts, weights):
+    """All pairs at or above 0.8, by the weights of the whole table, through lists of what each shingle is in."""
+    vectors, holders, links = [], {}, set()
+    for i, text in enumerate(texts):
+        found = {}
+        for part in words(pa.array([text], pa.string())):
+            _, ids, counts = module.shingles(part, 5)
+            found |= dict(zip(ids.tolist(), (weights[module._bucket(ids)] * (1 + np.log(counts))).tolist(), strict=True))
+        vectors.append(found)
+        for shingle in found:
+            holders.setdefault(shingle, []).append(i)
+    shared = {(a, b) for group in holders.values() for n, a in enumerate(group) for b in group[n + 1 :]}
+    for a, b in shared:
+        x, y = vectors[a], vectors[b]
+        common = sum(min(w, y[g]) for g, w in x.items() if g in y)
+        if common >= 0.8 * (sum(x.values()) + sum(y.values()) - common) - 1e-9:
+            links.add((a, b))
+    return links
+
+
+def test_recall_against_all_pairs_with_the_weights_of_the_table(spark):
+    given = [r["text"] for r in spark.read.parquet(f"{ENTRY_DIR}/documents.parquet").orderBy("doc_id").collect()]
+    draw, texts = random.Random(12), list(given)
+    for i in range(40):
+        base = prose(700 + i, draw.randint(60, 400))
+        texts += [base, *(changed(base, draw.choice((30, 45, 50, 60, 80, 120)), draw.choice(("changed", "altered"))) for _ in range(3))]
+    table = documents(spark, texts)
+    keyed = table.selectExpr("doc_id AS _id", "text AS _text")
+    weights = module._weights(keyed, Settings())
+    assert len(set(weights.round(3).tolist())) > 3
+    links = every_link(texts, weights)
+    root = list(range(len(texts)))
+    for a, b in sorted(links):
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    groups = {r["doc_id"]: r["component_id"] for r in near_dedup(table).collect()}
+    unequal = [(a, b) for a, b in links if texts[a] != texts[b]]
+    assert len(unequal) > 60
+    found = sum(groups[a] == groups[b] for a, b in unequal)
+    assert found >= 0.99 * len(unequal)
+    # No document is in a group that the links don't make.
+    assert all(root[i] == root[g] for i, g in groups.items())

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
 import pyarrow as pa
 
-from namewright.llm.quality_classifier import Ordinal, Settings, fit, likelihood_gradient, quality_classifier, select_quality, text_features
+from namewright.llm.quality_classifier import (
+    POWER, Ordinal, Settings, _first_cuts, _sample, _values, fit, likelihood_gradient, quality_classifier, select_quality, text_features,
+)
 from tests.llm.tables import awkward, documents, empty, prose
 
 RATINGS = "doc_id long, grade int, extra string"
@@ -76,3 +79,57 @@ def test_awkward_and_empty(spark):
     assert select_quality(table, none).count() == table.count()
     assert quality_classifier(empty(spark), ratings).count() == 0
     assert fit([np.array([1]), np.array([2])], np.array([1, 1]), Settings()) is None
+
+
+def plain_judgement(text, model, settings):
+    """One text at a time: its features looked up one by one, the logistic of each threshold, their sum."""
+    found = [b for _, _, buckets in text_features(pa.array([text], pa.string()), settings.buckets) for b in buckets.tolist() if model.seen[b]]
+    score = sum(float(model.weights[b]) for b in found) / max(len(found), 1) ** POWER
+    tails = [1 / (1 + math.exp(cut - score)) for cut in model.cuts.tolist()]
+    return sum(tails), tails[-1], tails[-1] >= model.threshold
+
+
+def test_every_row_is_judged_as_one_text_alone_would_be(spark):
+    train, other = graded(500, 3), graded(150, 4)
+    texts = [(i, t) for i, t, _ in train] + [(1000 + i, t) for i, t, _ in other]
+    texts += [(5000, None), (5001, ""), (5002, other[0][1]), (5003, "%%% &&&"), (5004, prose(5, 120_000)), (None, other[1][1])]
+    table = documents(spark, texts).repartition(7)
+    ratings = spark.createDataFrame([(i, g, "x") for i, _, g in train], RATINGS)
+    settings = Settings(buckets=1 << 16)
+    model = fit(*_sample(table, ratings, settings, "doc_id", "text"), settings)
+    rows = {r["doc_id"]: r for r in quality_classifier(table, ratings, settings).collect()}
+    assert len(rows) == len(texts)
+    for i, text in texts:
+        grade, tail, kept = plain_judgement(text, model, settings)
+        assert abs(rows[i]["expected_grade"] - grade) < 1e-5 and abs(rows[i]["tail_probability"] - tail) < 1e-5
+        assert rows[i]["kept"] == kept or abs(tail - model.threshold) < 1e-5
+
+
+def test_likelihood_is_that_of_a_plain_ascent():
+    """Full-batch ascent over the same features, whole matrix and all thresholds at once. With a few hundred ratings the fit stops short of it."""
+    settings = Settings(buckets=1 << 12)
+    rows = graded(3000, 6)
+    features = [np.concatenate([b for _, _, b in text_features(pa.array([t]), settings.buckets)]) for _, t, _ in rows]
+    grades = np.array([g for _, _, g in rows])
+    model = fit(features, grades, settings)
+    dense = np.zeros((len(rows), settings.buckets))
+    for i, found in enumerate(features):
+        known = found[model.seen[found]]
+        dense[i, known] = max(len(known), 1) ** -POWER
+
+    used = np.random.default_rng(settings.seed).permutation(len(rows))[len(rows) // 5 :]
+    value = _values([features[i] for i in used], grades[used], 3, settings)
+
+    def likelihood(scores, cuts):
+        tail = Ordinal(np.zeros(1), cuts, np.zeros(1)).tail(scores)
+        p = np.concatenate([np.ones((len(scores), 1)), tail], axis=1) - np.concatenate([tail, np.zeros((len(scores), 1))], axis=1)
+        return np.log(p[np.arange(len(scores)), grades[used]]).mean()
+
+    weights, cuts, x = np.zeros(settings.buckets), _first_cuts(grades, 3), dense[used] * value
+    start = likelihood(x @ weights, cuts)
+    for _ in range(200):
+        by_score, by_cut = likelihood_gradient(x @ weights, cuts, grades[used])
+        weights += 0.5 * (x.T @ by_score) / len(used)
+        cuts = np.maximum.accumulate(cuts + 0.5 * by_cut / len(used) + np.array([0, 1e-3])) - np.array([0, 1e-3])
+    reached = likelihood(dense[used] @ model.weights.astype(float), model.cuts)
+    assert reached >= likelihood(x @ weights, cuts) - 0.02 and reached > start + 0.1
