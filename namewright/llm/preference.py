@@ -26,8 +26,8 @@ def preference_format(
     group is formed. Should one pair hold a third of all turns, that is one very long example.
 
     Turns are ordered by turn, then role, then text, so repeated turn numbers have a fixed order; null turns come first. Null role and
-    text are empty. Turns of a null pair belong to no pair and are left out. A pair with one side only has an empty prompt and is not usable. Equal sides
-    leave two empty completions. Other columns are ignored.
+    text are empty, and very long texts are rendered whole. Turns of a null pair belong to no pair and are left out. A pair with one side
+    only has an empty prompt and is not usable. Equal sides leave two empty completions. Other columns are ignored.
     """
     sides = [_clean(side, pair_column).withColumn("_side", F.lit(number)) for number, side in enumerate((chosen, rejected))]
     turn = F.struct("turn", "role", "text")

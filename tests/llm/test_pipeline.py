@@ -4,7 +4,7 @@ import json
 
 import corpus_pipeline
 import __spark_entry__ as driver
-from tests.llm.tables import awkward, changed, prose
+from tests.llm.tables import awkward, changed, empty, prose
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -57,3 +57,10 @@ def test_awkward_rows_pass_through(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == table.columns
+
+
+def test_empty_tables(spark, tmp_path):
+    empty(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert packed.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(packed.columns)
