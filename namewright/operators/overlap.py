@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,8 @@ from namewright.sources.staging import stage
 MAX_POSTINGS = 1_000
 #: Frequent words of a text or an entry up to which all their sets are looked up.
 MAX_SUBSET = 8
+#: Pairs of a text and an entry that one task counts shared words of, about.
+PAIRS_PER_TASK = 1_000_000
 
 
 def taxonomy_entries(taxonomy: DataFrame) -> DataFrame:
@@ -111,7 +114,10 @@ class OverlapIndex:
             F.array_sort(F.collect_set(F.when(F.col("frequent"), F.col("token")))).alias("_common"),
             F.collect_set(F.when(~F.col("frequent"), F.col("token"))).alias("_rare"),
         )
+        # Written, to know how many entries it meets before they are counted.
+        listed = stage(listed, "listed-words")
         if not self.has_frequent:
+            listed = self._spread(listed, keys, listed.select(F.explode("_rare").alias("value")), ["value"])
             rare = listed.select(*keys, (F.explode_outer if keep_all else F.explode)("_rare").alias("value"))
             hits = rare.join(self.index.select("value", "number"), "value", "left" if keep_all else "inner")
             return hits.groupBy(*keys, "number").agg(F.count("number").cast("int").alias("score"))
@@ -128,12 +134,19 @@ class OverlapIndex:
         )
         if keep_all:
             wanted = F.concat(wanted, F.array(F.struct(F.lit("row").alias("kind"), F.lit(None).cast("string").alias("value"))))
+        listed = self._spread(listed, keys, listed.select(F.inline(wanted)), ["kind", "value"])
         probes = listed.select(*keys, "_common", F.explode(wanted).alias("_probe")).select(*keys, "_common", "_probe.kind", "_probe.value")
         hits = probes.join(self.index, ["kind", "value"], "left" if keep_all else "inner")
         pairs = hits.groupBy(*keys, "_common", "number", "signature").agg(F.count_if(F.col("kind") == "rare").cast("int").alias("_rare"))
         score = F.col("_rare") + F.size(F.array_intersect("_common", "signature"))
         return pairs.select(*keys, "number", score.alias("score"))
 
+    def _spread(self, listed: DataFrame, keys: Sequence[str], probes: DataFrame, on: list[str]) -> DataFrame:
+        """``listed`` in as many partitions as its look-ups need: few bytes of words meet many entries, which Spark can't foresee."""
+        postings = self.index.groupBy(*on).agg(F.count("*").alias("_n"))
+        pairs = probes.join(postings, on).agg(F.sum("_n").alias("n")).first()["n"] or 0
+        return listed.repartition(math.ceil(pairs / PAIRS_PER_TASK), *keys) if pairs > PAIRS_PER_TASK else listed
+
     def best(
         self, keyed: DataFrame, keys: Sequence[str], tokens: Column, keep_all: bool = False
     ) -> DataFrame:

@@ -119,3 +119,14 @@ def test_candidates_do_not_grow_with_the_taxonomy(spark):
         index = OverlapIndex(taxonomy, max_postings=20)
         met.append(index.candidates(keyed, ["q"], F.split("q", r"\|")).count() / len(queries))
     assert max(met) <= 2**5 and met[1] < 2 * met[0]
+
+
+def test_pairs_are_spread_however_few_bytes_their_words_have(spark, monkeypatch):
+    monkeypatch.setattr("namewright.operators.overlap.PAIRS_PER_TASK", 50)
+    taxonomy = spark.createDataFrame([(f"{i:02}", f"common word{i}") for i in range(20)], "id string, degree_name string")
+    keyed = spark.createDataFrame([(f"k{i}", ["common", f"word{i % 20}"]) for i in range(100)], "_key string, tokens array<string>")
+    for max_postings, pairs in ((1000, 2000), (5, 300)):
+        scored = OverlapIndex(taxonomy, max_postings).candidates(keyed, ["_key"], F.col("tokens"))
+        rows = {(r["_key"], r["number"]): r["score"] for r in scored.collect()}
+        assert sum(score == 2 for score in rows.values()) == 100 and len(rows) <= pairs
+        assert scored.rdd.getNumPartitions() >= 2 + (max_postings == 1000) * 38
