@@ -30,6 +30,9 @@ OPEN, CLOSED, APART = 0, 1, 2
 #: Private characters that stand for quotes which may close or open a field, only open one, or only close one.
 _EITHER, _OPENING, _CLOSING = "\ue000", "\ue001", "\ue002"
 
+#: All but quotes and those characters; in ranges, which Java matches far faster than the negated class.
+_BETWEEN = r"[\x00-!#-\x{d7ff}\x{e003}-\x{10ffff}]+"
+
 _SUMMARY = "file long, block long, fate int, from_outside int, from_inside int, n_quotes long, head string"
 _PIECES = "file long, record string, literal boolean, begun long, block long"
 
@@ -39,11 +42,12 @@ _PIECES = "file long, record string, literal boolean, begun long, block long"
 def _marks(line: Column, delimiters: str) -> Column:
     """The quotes of a line, by what they may do; doubled ones stand for themselves and are left out."""
     near = "".join(re.escape(d) for d in delimiters)
-    before, after = f"(?<![^{near}\ufeff])", f"(?![^{near}\r\n])"
+    # The quote stands first, so that nothing is looked behind at other places.
+    opens, after = f'"(?<![^{near}\ufeff]")', f"(?![^{near}\r\n])"
     text = F.regexp_replace(F.translate(line, _EITHER + _OPENING + _CLOSING, "xxx"), '""', "")
-    for pattern, mark in ((f'{before}"{after}', _EITHER), (f'{before}"', _OPENING), (f'"{after}', _CLOSING)):
+    for pattern, mark in ((f"{opens}{after}", _EITHER), (opens, _OPENING), (f'"{after}', _CLOSING)):
         text = F.regexp_replace(text, pattern, mark)
-    return F.regexp_replace(text, f'[^"{_EITHER}{_OPENING}{_CLOSING}]+', "")
+    return F.regexp_replace(text, _BETWEEN, "")
 
 
 def line_class(line: Column, delimiters: str) -> Column:

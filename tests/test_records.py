@@ -6,8 +6,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from namewright.sources import csv
+from namewright.sources import csv, records
 from namewright.sources.records import read_lines, read_records, read_splits
 
 DELIMITERS = ",;\t|"
@@ -148,3 +149,22 @@ def test_thousands_of_files(spark, tmp_path):
         (tmp_path / f"{i}.csv").write_text(f'id,name,cluster\n{i},"n\n{i}",c\n' if i % 3 else "no,header\n1,2\n")
     corpus, rejected = csv.read_corpus(spark, str(tmp_path))
     assert corpus.count() == 1000 and rejected.groupBy("reason").count().collect()[0][1] == 500
+
+
+def test_marks_are_found_from_the_quotes_on(spark):
+    """Patterns that look behind or negate at every place are far slower; they leave the same marks."""
+    lines = ['"a","b"', 'x"y', '﻿"a"', '"', '""', 'a,"b""c",d', '\U0001f600"', '"\U0001f600", "x" ,"y"', '\xe9퟿","￿"\r\n', '","', ',"\n', '|"a"|\t"', '","']
+    rows = spark.createDataFrame([(line,) for line in lines], "line string")
+    either, opening, closing = records._EITHER, records._OPENING, records._CLOSING
+
+    def by_places(line):
+        near = r",;\|"
+        text = F.regexp_replace(F.translate(line, either + opening + closing, "xxx"), '""', "")
+        before, after = f"(?<![^{near}﻿])", f"(?![^{near}\r\n])"
+        for pattern, mark in ((f'{before}"{after}', either), (f'{before}"', opening), (f'"{after}', closing)):
+            text = F.regexp_replace(text, pattern, mark)
+        return F.regexp_replace(text, f'[^"{either}{opening}{closing}]+', "")
+
+    found = rows.select(records._marks(F.col("line"), ",;|").alias("a"), by_places(F.col("line")).alias("b")).collect()
+    assert [r["a"] for r in found] == [r["b"] for r in found] and all(any(m in r["a"] for r in found) for m in (either, opening, closing))
+    assert "[^" not in records._BETWEEN
