@@ -114,10 +114,12 @@ class OverlapIndex:
             F.array_sort(F.collect_set(F.when(F.col("frequent"), F.col("token")))).alias("_common"),
             F.collect_set(F.when(~F.col("frequent"), F.col("token"))).alias("_rare"),
         )
-        # Written, to know how many entries it meets before they are counted.
-        listed = stage(listed, "listed-words")
+        if not keep_all:
+            # Written, to know how many entries it meets before they are counted; with all rows kept, keys stay partitioned as they are.
+            listed = stage(listed, "listed-words")
         if not self.has_frequent:
-            listed = self._spread(listed, keys, listed.select(F.explode("_rare").alias("value")), ["value"])
+            if not keep_all:
+                listed = self._spread(listed, keys, listed.select(F.explode("_rare").alias("value")), ["value"])
             rare = listed.select(*keys, (F.explode_outer if keep_all else F.explode)("_rare").alias("value"))
             hits = rare.join(self.index.select("value", "number"), "value", "left" if keep_all else "inner")
             return hits.groupBy(*keys, "number").agg(F.count("number").cast("int").alias("score"))
@@ -134,7 +136,8 @@ class OverlapIndex:
         )
         if keep_all:
             wanted = F.concat(wanted, F.array(F.struct(F.lit("row").alias("kind"), F.lit(None).cast("string").alias("value"))))
-        listed = self._spread(listed, keys, listed.select(F.inline(wanted)), ["kind", "value"])
+        if not keep_all:
+            listed = self._spread(listed, keys, listed.select(F.inline(wanted)), ["kind", "value"])
         probes = listed.select(*keys, "_common", F.explode(wanted).alias("_probe")).select(*keys, "_common", "_probe.kind", "_probe.value")
         hits = probes.join(self.index, ["kind", "value"], "left" if keep_all else "inner")
         pairs = hits.groupBy(*keys, "_common", "number", "signature").agg(F.count_if(F.col("kind") == "rare").cast("int").alias("_rare"))
